@@ -1,0 +1,120 @@
+from conftest import rows
+from ordertide import schemas
+from ordertide.operators import charts, trends
+
+
+def monthly(spark, *data):
+    """Rows of (month, product id, name, category, units, revenue)."""
+    full = [
+        (None if m is None else int(m[:4]), None if m is None else int(m[5:]), m, p, n, c, u, r, 1)
+        for m, p, n, c, u, r in data
+    ]
+    return spark.createDataFrame(full, schemas.PRODUCT_DEMAND_MONTHLY)
+
+
+def series(spark, units, months=None):
+    months = months or [f"1997-{i:02d}" for i in range(1, len(units) + 1)]
+    return monthly(spark, *[(m, 1, "nut", 1, u, 1.0) for m, u in zip(months, units)])
+
+
+def growth_of(df):
+    return [r.demand_growth_rate for r in df.orderBy("product_id", "order_year_month").collect()]
+
+
+def test_equal_totals_go_to_the_smaller_id(spark):
+    df = monthly(spark, ("1997-01", 2, "b", 1, 1, 5.0), ("1997-01", 1, "a", 1, 1, 5.0))
+    assert [tuple(r) for r in trends.top_products(df, 1).collect()] == [(1, "a", 5.0)]
+
+
+def test_top_products_keep_all_their_months(spark):
+    df = monthly(
+        spark,
+        ("1997-01", 1, "a", 1, 9, 1.0),
+        ("1997-01", 2, "b", 1, 1, 5.0),
+        ("1997-02", 2, "b", 1, 1, 5.0),
+        ("1997-02", 3, "c", 2, 1, 50.0),
+    )
+    assert {r.product_id for r in trends.keep_top_products(df, 2).collect()} == {2, 3}
+    assert trends.keep_top_products(df, 2).columns == df.columns
+    assert charts.chart_frame(df, 1, category_id=1).count() == 2
+    assert [r.product_id for r in trends.focus(df, category_id=1, top_n=1).collect()] == [1]
+    assert trends.focus(df, product_id=2, top_n=1).count() == 2
+    assert trends.focus(df).count() == 4
+    assert [r.product_id for r in charts.in_plot_order(df).collect()] == [1, 2, 2, 3]
+
+
+def test_a_long_top_list_is_not_hinted(spark):
+    df = monthly(spark, ("1997-01", 1, "a", 1, 9, 1.0))
+    assert trends.keep_top_products(df, trends.BROADCAST_ROWS + 1).count() == 1
+
+
+def test_growth_is_against_the_previous_row_of_the_series(spark):
+    df = series(spark, [10, 20, 5], ["1997-01", "1997-02", "1997-04"])
+    assert growth_of(trends.demand_growth(df)) == [None, 1.0, -0.75]
+
+
+def test_growth_after_zero_units_is_null(spark):
+    assert growth_of(trends.demand_growth(series(spark, [0, 5, 0, 0]))) == [None, None, -1.0, None]
+
+
+def test_two_products_with_one_name_are_two_series(spark):
+    df = monthly(
+        spark,
+        ("1997-01", 1, "nut", 1, 10, 1.0), ("1997-02", 1, "nut", 1, 20, 1.0),
+        ("1997-01", 2, "nut", 1, 4, 1.0), ("1997-02", 2, "nut", 1, 1, 1.0),
+    )
+    assert growth_of(trends.demand_growth(df)) == [None, 1.0, None, -0.75]
+    by_name = trends.demand_growth(df, series=("product_name",))
+    assert sum(r.demand_growth_rate is None for r in by_name.collect()) == 1
+
+
+def test_share_counts_unnamed_products_in_the_total_only(spark):
+    df = monthly(
+        spark,
+        ("1997-01", 1, "a", 1, 1, 30.0),
+        ("1997-01", 2, None, 1, 1, 70.0),
+        ("1997-01", 3, "c", 2, 1, 5.0),
+        ("1997-01", 4, "d", None, 1, 5.0),
+        (None, 1, "a", 1, 1, 8.0),
+    )
+    assert rows(trends.category_share(df)) == [
+        (None, 1, 1, "a", 8.0, 8.0, 1.0),
+        ("1997-01", 1, 1, "a", 30.0, 100.0, 0.3),
+        ("1997-01", 2, 3, "c", 5.0, 5.0, 1.0),
+    ]
+    assert rows(trends.category_share(df, category_id=1, product_id=1)) == rows(
+        trends.category_share(df).where("category_id = 1 AND product_id = 1")
+    )
+    assert rows(trends.category_month_revenue(df)) == [
+        (None, 1, 8.0), ("1997-01", 1, 100.0), ("1997-01", 2, 5.0),
+    ]
+
+
+def test_share_of_nothing_is_null(spark):
+    df = monthly(spark, ("1997-01", 1, "a", 1, 0, 0.0))
+    assert trends.category_share(df).first()["category_revenue_share"] is None
+
+
+def test_period_summary(spark):
+    df = monthly(spark, ("1997-01", 1, "a", 1, 2, 10.0), ("1997-02", 1, "a", 1, 4, 20.0))
+    assert rows(trends.period_summary(df)) == [(1, "a", 6, 30.0, 3.0, 15.0)]
+
+
+def test_histogram_closes_the_last_bin_and_keeps_every_row(spark):
+    df = monthly(spark, *[("1997-01", i, "a" if i % 2 else "b", 1, i, float(i)) for i in range(11)])
+    found = rows(charts.histogram(df, "monthly_revenue", bins=5))
+    assert [(r[0], r[1], r[4]) for r in found] == [
+        ("a", 1, 1), ("a", 2, 1), ("a", 3, 1), ("a", 4, 1), ("a", 5, 1),
+        ("b", 1, 1), ("b", 2, 1), ("b", 3, 1), ("b", 4, 1), ("b", 5, 2),
+    ]
+    assert (found[0][2], found[0][3], found[4][2], found[4][3]) == (0.0, 2.0, 8.0, 10.0)
+
+
+def test_histogram_of_equal_values_is_one_bin(spark):
+    df = monthly(spark, *[("1997-01", i, "a", 1, 7, 7.0) for i in range(3)])
+    assert rows(charts.histogram(df, "monthly_demand_units")) == [("a", 1, 7.0, 7.0, 3)]
+
+
+def test_points(spark):
+    df = monthly(spark, ("1997-01", 1, "a", 1, 2, 10.0))
+    assert rows(charts.revenue_vs_demand(df)) == [("1997-01", 1, "a", 2, 10.0, 1)]
