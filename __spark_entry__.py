@@ -93,7 +93,8 @@ def line_revenue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    return _money(plans.product_revenue(*_tables(spark, folder)), "total_revenue")
+    raw = (reader(spark, folder) for reader in (retail.order_details, retail.orders, retail.products))
+    return _money(plans.product_revenue(*plans.cleaned_lines(*raw)), "total_revenue")
 
 
 def product_demand_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,9 +156,7 @@ def top_products_by_revenue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_products_by_units(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.top_products(
-        _monthly(spark, folder), 10, "monthly_demand_units", "total_demand_units"
-    )
+    return trends.top_products_by_units(_monthly(spark, folder))
 
 
 def top_products_trend(spark: SparkSession, folder: str) -> DataFrame:

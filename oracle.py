@@ -206,10 +206,12 @@ SELECT order_id, product_id, unit_price, quantity, discount, revenue FROM featur
         "demand_features": f"""WITH {FEATURES}
 SELECT {BASE_COLUMNS}, demand_units, revenue, order_year, order_month, order_year_month
 FROM features""",
-        "product_revenue": f"""WITH {FEATURES}
-SELECT product_id, product_name, ROUND(SUM(revenue), 4) AS total_revenue,
-       CAST(SUM(quantity) AS BIGINT) AS total_quantity
-FROM features GROUP BY product_id, product_name""",
+        "product_revenue": f"""WITH {LINES}
+SELECT l.product_id, p.p_name AS product_name,
+       ROUND(SUM(l.unit_price * l.quantity * (1 - l.discount)), 4) AS total_revenue,
+       CAST(SUM(l.quantity) AS BIGINT) AS total_quantity
+FROM lines l JOIN orders o ON o.o_orderkey = l.order_id JOIN part p ON p.p_partkey = l.product_id
+GROUP BY l.product_id, p.p_name""",
         "product_demand_summary": f"""WITH {FEATURES}
 SELECT product_id, product_name, category_id, {TOTALS}
 FROM features GROUP BY product_id, product_name, category_id""",

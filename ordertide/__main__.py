@@ -53,7 +53,8 @@ def _parser() -> argparse.ArgumentParser:
     _common(transform, preview=20)
     _database(transform, table_required=False)
     transform.add_argument("--function", required=True, help="module:function")
-    transform.add_argument("--input", help="input CSV or Parquet")
+    transform.add_argument("--input", help="input files")
+    transform.add_argument("--input-format", choices=list(jobs.FILE_READERS), default="csv")
     transform.add_argument("--output", help="output Parquet folder")
     transform.add_argument("--jdbc-output-table")
     transform.add_argument("--order-by", help="numeric column to sort the preview by")
@@ -126,7 +127,9 @@ def transform_job(args: argparse.Namespace) -> jobs.TransformJob:
     )
     module, _, function = args.function.partition(":")
     return jobs.TransformJob(
-        source=jobs.Source(connection or None, args.jdbc_input_table, args.input),
+        source=jobs.Source(
+            connection or None, args.jdbc_input_table, args.input, args.input_format
+        ),
         transform=getattr(import_module(module), function or "transform"),
         sink=jobs.Sink(connection or None, args.jdbc_output_table, args.output),
         preview_rows=args.limit,

@@ -44,20 +44,29 @@ def top_products(
     return totals.orderBy(F.desc(total), "product_id", "product_name").limit(n)
 
 
-def keep_top_products(
-    monthly: DataFrame,
-    n: int = 10,
-    measure: str = "monthly_revenue",
-    total: str = "total_revenue",
-) -> DataFrame:
-    """The rows of the ``n`` highest products, by a semi-join instead of a collect.
+def top_products_by_units(monthly: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` products with most units. Products without a name are not ranked."""
+    named = monthly.where(F.col("product_name").isNotNull())
+    return top_products(named, n, "monthly_demand_units", "total_demand_units")
+
+
+def keep_products(monthly: DataFrame, chosen: DataFrame, at_most: int) -> DataFrame:
+    """The rows of the chosen products, by a semi-join instead of a collect.
+
+    ``at_most`` bounds the rows of ``chosen`` and decides about the broadcast.
+    """
+    ids = chosen.select("product_id")
+    if at_most <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return monthly.join(ids, "product_id", "left_semi").select(*monthly.columns)
+
+
+def keep_top_products(monthly: DataFrame, n: int = 10) -> DataFrame:
+    """All rows of the ``n`` products with most revenue.
 
     Reads ``monthly`` twice; pass a stored table.
     """
-    chosen = top_products(monthly, n, measure, total).select("product_id")
-    if n <= BROADCAST_ROWS:
-        chosen = F.broadcast(chosen)
-    return monthly.join(chosen, "product_id", "left_semi").select(*monthly.columns)
+    return keep_products(monthly, top_products(monthly, n), n)
 
 
 def focus(
@@ -67,10 +76,10 @@ def focus(
     top_n: int | None = None,
 ) -> DataFrame:
     """An analyst's selection: by category, then one product or the top by units."""
-    chosen = select_products(monthly, category_id, product_id)
+    selected = select_products(monthly, category_id, product_id)
     if product_id is not None or top_n is None:
-        return chosen
-    return keep_top_products(chosen, top_n, "monthly_demand_units", "total_demand_units")
+        return selected
+    return keep_products(selected, top_products_by_units(selected, top_n), top_n)
 
 
 def product_month_revenue(monthly: DataFrame) -> DataFrame:
@@ -137,8 +146,8 @@ def demand_growth(
 
 
 def period_summary(monthly: DataFrame) -> DataFrame:
-    """Totals and monthly means per product over the months present."""
-    return monthly.groupBy("product_id", "product_name").agg(
+    """Totals and monthly means per named product over the months present."""
+    return monthly.where(F.col("product_name").isNotNull()).groupBy("product_id", "product_name").agg(
         F.sum("monthly_demand_units").alias("total_demand_units"),
         F.sum("monthly_revenue").alias("total_revenue"),
         F.avg("monthly_demand_units").alias("avg_monthly_demand_units"),

@@ -168,3 +168,10 @@ def cleaned(
         clean_orders(orders, lenient),
         clean_products(products, lenient),
     )
+
+
+def cleaned_lines(
+    order_details: DataFrame, orders: DataFrame, products: DataFrame, lenient: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Only the lines cleaned; ids and names stay as the source has them."""
+    return clean_order_details(order_details, typed_keys=False, lenient=lenient), orders, products

@@ -20,27 +20,30 @@ Transform = Callable[[DataFrame], DataFrame]
 
 INPUTS = ("order_details", "orders", "products")
 
+FILE_READERS = {"parquet": readers.read_parquet, "csv": readers.read_csv}
+
 
 @dataclass(frozen=True)
 class Source:
-    """A database table or files: CSV with a header, or Parquet."""
+    """A database table, or files: Parquet, or CSV with a header."""
 
     connection: Connection | None = None
     table: str | None = None
     path: str | None = None
+    file_format: str = "parquet"
     split: readers.Split | None = None
 
     def check(self) -> None:
         if not (self.connection and self.table) and not self.path:
             raise ValueError("give a JDBC url and input table, or an input path")
+        if self.file_format not in FILE_READERS:
+            raise ValueError(f"no file format {self.file_format!r}; known: {', '.join(FILE_READERS)}")
 
     def load(self, spark: SparkSession) -> DataFrame:
         self.check()
         if self.connection and self.table:
             return readers.read_jdbc(spark, self.connection, self.table, self.split)
-        if self.path.lower().rstrip("/").endswith((".csv", ".csv.gz", "_csv")):
-            return readers.read_csv(spark, self.path)
-        return readers.read_parquet(spark, self.path)
+        return FILE_READERS[self.file_format](spark, self.path)
 
 
 @dataclass(frozen=True)
@@ -72,12 +75,13 @@ def _base_features(lines: DataFrame, orders: DataFrame, products: DataFrame) ->
 
 @dataclass(frozen=True)
 class Report:
-    """A table built from cleaned lines, orders and products.
+    """A table built from lines, orders and products, once ``clean`` has been over them.
 
     ``from_features`` builds the same table from a stored demand base.
     """
 
     path_name: str
+    clean: Callable[..., tuple[DataFrame, DataFrame, DataFrame]]
     from_tables: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
     from_features: Transform
     in_order: Transform
@@ -93,19 +97,25 @@ def _by_month(df: DataFrame) -> DataFrame:
 
 REPORTS: Mapping[str, Report] = {
     "supply_chain_pipeline": Report(
-        "output", plans.product_revenue, demand.product_revenue, _by_revenue
+        "output",
+        plans.cleaned_lines,
+        plans.product_revenue,
+        demand.product_revenue,
+        _by_revenue,
     ),
     "product_demand_base": Report(
-        "product_demand_base", _base_features, lambda df: df, lambda df: df
+        "product_demand_base", plans.cleaned, _base_features, lambda df: df, lambda df: df
     ),
     "product_demand_summary": Report(
         "product_demand_summary",
+        plans.cleaned,
         plans.product_demand_summary,
         demand.product_demand_summary,
         _by_revenue,
     ),
     "product_demand_monthly": Report(
         "product_demand_monthly",
+        plans.cleaned,
         plans.product_demand_monthly,
         demand.product_demand_monthly,
         _by_month,
@@ -149,7 +159,7 @@ class ReportJob:
             result = report.from_features(self.base.load(spark))
         else:
             raw = [self.sources[name].load(spark) for name in INPUTS]
-            result = report.from_tables(*plans.cleaned(*raw, lenient=self.lenient))
+            result = report.from_tables(*report.clean(*raw, lenient=self.lenient))
         return report.in_order(result) if self.ordered else result
 
     def run(self, spark: SparkSession) -> DataFrame:

@@ -39,6 +39,7 @@ def parsed(*argv):
         (jobs.TransformJob(jobs.Source(connection=DB), lambda df: df, jobs.Sink(path="o")), "input path"),
         (jobs.ChartsJob(jobs.Source(path="i"), "o", top_n=0), "start at 1"),
         (jobs.ProbeJob(jobs.Source()), "input path"),
+        (jobs.ProbeJob(jobs.Source(path="i", file_format="xls")), "no file format 'xls'"),
     ],
 )
 def test_a_wrong_job_fails_before_spark_is_touched(job, message):

@@ -45,7 +45,28 @@ def test_top_products_keep_all_their_months(spark):
 
 def test_a_long_top_list_is_not_hinted(spark):
     df = monthly(spark, ("1997-01", 1, "a", 1, 9, 1.0))
-    assert trends.keep_top_products(df, trends.BROADCAST_ROWS + 1).count() == 1
+    short, long = (trends.keep_top_products(df, n) for n in (1, trends.BROADCAST_ROWS + 1))
+    assert long.count() == 1
+
+    def logical(df):
+        return df._jdf.queryExecution().analyzed().toString()
+
+    assert "broadcast" in logical(short)
+    assert "broadcast" not in logical(long)
+
+
+def test_unnamed_products_are_not_ranked_by_units_or_summarised(spark):
+    df = monthly(
+        spark,
+        ("1997-01", 1, None, 1, 99, 99.0),
+        ("1997-01", 2, "b", 1, 5, 1.0),
+        ("1997-02", 2, None, 1, 7, 1.0),
+        ("1997-02", 3, "c", 1, 4, 1.0),
+    )
+    assert rows(trends.top_products_by_units(df, 1)) == [(2, "b", 5)]
+    assert rows(trends.focus(df, top_n=1).select("product_id", "product_name")) == [(2, None), (2, "b")]
+    assert [r.product_id for r in trends.period_summary(df).orderBy("product_id").collect()] == [2, 3]
+    assert trends.top_products(df, 1).first()["product_id"] == 1
 
 
 def test_growth_is_against_the_previous_row_of_the_series(spark):
