@@ -47,8 +47,24 @@ def _tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Dat
     return _lines(spark, folder), _orders(spark, folder), _products(spark, folder)
 
 
+def _stored_products(spark: SparkSession, folder: str) -> DataFrame:
+    """For queries that read the supplier, which is derived from the lines here.
+
+    Stored, the dimension has a known size, so Spark can decide on a broadcast
+    before it shuffles any line; and beyond that size it feeds the join as a plain
+    scan, so that Spark can split a product that holds a large share of the lines.
+    """
+    return cleaning.clean_products(staging.staged(retail.products(spark, folder), "products"))
+
+
+def _base(spark: SparkSession, folder: str) -> DataFrame:
+    return demand.demand_base(
+        _lines(spark, folder), _orders(spark, folder), _stored_products(spark, folder)
+    )
+
+
 def _features(spark: SparkSession, folder: str) -> DataFrame:
-    return demand.with_demand_features(demand.demand_base(*_tables(spark, folder)))
+    return demand.with_demand_features(_base(spark, folder))
 
 
 def _monthly(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,12 +99,8 @@ def products_clean(spark: SparkSession, folder: str) -> DataFrame:
 # Demand
 
 
-def demand_base(spark: SparkSession, folder: str) -> DataFrame:
-    return demand.demand_base(*_tables(spark, folder))
-
-
 def line_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    priced = demand.with_revenue(demand_base(spark, folder))
+    priced = demand.with_revenue(demand.demand_base(*_tables(spark, folder)))
     return priced.select("order_id", "product_id", *schemas.LINE_MEASURES, "revenue")
 
 
@@ -98,8 +110,7 @@ def product_revenue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_demand_summary(spark: SparkSession, folder: str) -> DataFrame:
-    summary = plans.product_demand_summary(*_tables(spark, folder))
-    return _money(summary, "total_revenue", "avg_unit_price")
+    return _summary(plans.product_demand_summary(*_tables(spark, folder)))
 
 
 def product_demand_monthly(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,25 +121,29 @@ def daily_product_demand(spark: SparkSession, folder: str) -> DataFrame:
     return plans.daily_product_demand(*_tables(spark, folder))
 
 
-def _summary_by_line_key(key: str) -> Query:
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        return _money(
-            demand.demand_by(_features(spark, folder), key), "total_revenue", "avg_unit_price"
-        )
+def _summary(summary: DataFrame) -> DataFrame:
+    return _money(summary, "total_revenue", "avg_unit_price")
 
-    return query
+
+def category_summary(spark: SparkSession, folder: str) -> DataFrame:
+    base = demand.demand_base(*_tables(spark, folder))
+    return _summary(demand.demand_by(demand.with_demand_features(base), "category_id"))
+
+
+def supplier_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return _summary(demand.demand_by(_features(spark, folder), "supplier_id"))
 
 
 def _summary_by_order_key(key: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        summary = plans.demand_by_order_attribute(*_tables(spark, folder), key)
-        return _money(summary, "total_revenue", "avg_unit_price")
+        return _summary(plans.demand_by_order_attribute(*_tables(spark, folder), key))
 
     return query
 
 
 def category_demand_monthly(spark: SparkSession, folder: str) -> DataFrame:
-    monthly = demand.category_demand_monthly(_features(spark, folder))
+    base = demand.demand_base(*_tables(spark, folder))
+    monthly = demand.category_demand_monthly(demand.with_demand_features(base))
     grown = trends.demand_growth(monthly, series=("category_id",))
     return _money(_money(grown, "monthly_revenue"), "demand_growth_rate", digits=6)
 
@@ -326,16 +341,16 @@ def queries() -> dict[str, Query]:
         "order_details_demand_clean": _lines,
         "orders_clean": _orders,
         "products_clean": products_clean,
-        "demand_base": demand_base,
+        "demand_base": _base,
         "line_revenue": line_revenue,
         "demand_features": _features,
         "product_revenue": product_revenue,
         "product_demand_summary": product_demand_summary,
         "product_demand_monthly": product_demand_monthly,
         "daily_product_demand": daily_product_demand,
-        "category_summary": _summary_by_line_key("category_id"),
+        "category_summary": category_summary,
         "customer_summary": _summary_by_order_key("customer_id"),
-        "supplier_summary": _summary_by_line_key("supplier_id"),
+        "supplier_summary": supplier_summary,
         "employee_summary": _summary_by_order_key("employee_id"),
         "category_demand_monthly": category_demand_monthly,
         "monthly_for_category": monthly_for_category,

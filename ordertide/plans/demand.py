@@ -43,11 +43,16 @@ def _distinct_orders(orders: DataFrame, *keys: Column | str) -> DataFrame:
 
     Lines are unique per order and product, so once orders are unique too a plain
     count is the distinct count, and the lines are spared three more aggregations.
-    The order rows are the smaller table by far. It also leaves Spark free to
-    split a hot key of the join, which a distinct count after it would forbid.
+
+    The second grouping column keeps the result from leaving the aggregate placed
+    by ``order_id`` alone. The join then shuffles this narrow table once more, and
+    in return Spark can split a hot order between tasks: it does so only where a
+    shuffle feeds the join directly on both sides.
     """
-    side = orders.where(F.col("order_id").isNotNull()).select("order_id", *keys)
-    return side.groupBy(*side.columns).agg(F.count("*").alias("_copies"))
+    side = orders.where(F.col("order_id").isNotNull()).select(
+        "order_id", *(keys or [F.xxhash64("order_id").alias("_spread")])
+    )
+    return side.groupBy(*side.columns).agg(F.count("*").alias("_copies")).drop("_spread")
 
 
 def _per_product(lines: DataFrame, orders: DataFrame, *order_keys: Column) -> DataFrame:
