@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-from dataclasses import replace
 from importlib import import_module
 
 from ordertide.plans import jobs
@@ -15,6 +14,7 @@ from ordertide.sources.settings import (
     URL_ENV,
     USER_ENV,
     Connection,
+    Settings,
     load_settings,
     optional_path,
     qualified,
@@ -30,13 +30,28 @@ def _parser() -> argparse.ArgumentParser:
     for name in jobs.REPORTS:
         report = commands.add_parser(name, help=f"write the {name} table")
         _common(report, preview=20)
-        report.add_argument("--config", default="configs/base.yaml", help="YAML configuration")
+        _inputs(report)
         report.add_argument("--output", help="output folder; default from the configuration")
-        report.add_argument("--input-folder", help="read <folder>/<table>.parquet, not JDBC")
         report.add_argument("--base", help="build from this stored demand base")
+        report.add_argument("--by", nargs="+", default=[], help="grouping columns")
         report.add_argument("--sorted", action="store_true", help="sort the stored table too")
         report.add_argument("--lenient", action="store_true", help="malformed values become null")
-        report.add_argument("--connections", type=int, default=1, help="JDBC connections per table")
+
+    for name in jobs.ANALYSES:
+        analysis = commands.add_parser(name, help=f"write {name} from the monthly table")
+        analysis.add_argument("--config", default="configs/base.yaml")
+        analysis.add_argument("--input", help="monthly table; default from the configuration")
+        analysis.add_argument("--output", help="output folder; default from the configuration")
+        analysis.add_argument("--category-id", type=int)
+        analysis.add_argument("--product-id", type=int)
+        analysis.add_argument("--top-n", type=int, default=10)
+        analysis.add_argument("--limit", type=int, default=20, help="preview rows; 0 for none")
+
+    checks = commands.add_parser("quality", help="write quality reports of the inputs")
+    _common(checks, preview=20)
+    _inputs(checks)
+    checks.add_argument("--output-dir", help="output folder; default from the configuration")
+    checks.add_argument("--null-threshold", type=float, default=0.0, help="permitted null share")
 
     chart = commands.add_parser("charts", help="write chart datasets from the monthly table")
     chart.add_argument("--config", default="configs/base.yaml")
@@ -69,6 +84,12 @@ def _common(parser: argparse.ArgumentParser, preview: int) -> None:
     parser.add_argument("--db-password-env", default=None, help=f"default {PASSWORD_ENV}")
 
 
+def _inputs(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--config", default="configs/base.yaml", help="YAML configuration")
+    parser.add_argument("--input-folder", help="read <folder>/<table>.parquet, not JDBC")
+    parser.add_argument("--connections", type=int, default=1, help="JDBC connections per table")
+
+
 def _database(parser: argparse.ArgumentParser, table_required: bool = True) -> None:
     parser.add_argument("--jdbc-url", help=f"default ${URL_ENV}")
     parser.add_argument("--jdbc-input-table", required=table_required)
@@ -76,25 +97,49 @@ def _database(parser: argparse.ArgumentParser, table_required: bool = True) -> N
     parser.add_argument("--db-user", help=f"default ${USER_ENV}")
 
 
+def input_sources(args: argparse.Namespace, settings: Settings) -> dict[str, jobs.Source]:
+    if args.input_folder:
+        return jobs.folder_sources(args.input_folder)
+    connection = settings.connection(args.db_password, args.db_password_env)
+    return jobs.configured_sources(settings, connection, jobs.even_split(args.connections))
+
+
 def report_job(args: argparse.Namespace) -> jobs.ReportJob:
     settings = load_settings(args.config)
     path = settings.path(jobs.REPORTS[args.command].path_name, args.output)
-    job = jobs.ReportJob(
+    return jobs.ReportJob(
         report=args.command,
-        sources={},
+        sources={} if args.base else input_sources(args, settings),
         sink=jobs.Sink(path=path),
         base=jobs.Source(path=args.base) if args.base else None,
+        by=tuple(args.by),
         preview_rows=args.limit,
         ordered=args.sorted,
         lenient=args.lenient,
     )
-    if args.base:
-        return job
-    if args.input_folder:
-        return jobs.with_folder(job, args.input_folder)
-    connection = settings.connection(args.db_password, args.db_password_env)
-    sources = jobs.configured_sources(settings, connection, jobs.even_split(args.connections))
-    return replace(job, sources=sources)
+
+
+def analysis_job(args: argparse.Namespace) -> jobs.AnalysisJob:
+    settings = load_settings(args.config)
+    return jobs.AnalysisJob(
+        analysis=args.command,
+        monthly=jobs.Source(path=settings.path("product_demand_monthly", args.input)),
+        sink=jobs.Sink(path=settings.path(args.command, args.output)),
+        category_id=args.category_id,
+        product_id=args.product_id,
+        top_n=args.top_n,
+        preview_rows=args.limit,
+    )
+
+
+def quality_job(args: argparse.Namespace) -> jobs.QualityJob:
+    settings = load_settings(args.config)
+    return jobs.QualityJob(
+        sources=input_sources(args, settings),
+        folder=settings.path("quality", args.output_dir),
+        null_threshold=args.null_threshold,
+        preview_rows=args.limit,
+    )
 
 
 def charts_job(args: argparse.Namespace) -> jobs.ChartsJob:
@@ -137,12 +182,19 @@ def transform_job(args: argparse.Namespace) -> jobs.TransformJob:
     )
 
 
-BUILDERS = {"charts": charts_job, "probe": probe_job, "transform": transform_job}
+BUILDERS = {
+    **dict.fromkeys(jobs.REPORTS, report_job),
+    **dict.fromkeys(jobs.ANALYSES, analysis_job),
+    "charts": charts_job,
+    "probe": probe_job,
+    "quality": quality_job,
+    "transform": transform_job,
+}
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    job = BUILDERS.get(args.command, report_job)(args)
+    job = BUILDERS[args.command](args)
     job.check()
     jar = setting(optional_path(getattr(args, "jdbc_jar", None)), JAR_ENV)
     conf, name = {}, getattr(args, "app_name", None)

@@ -5,13 +5,15 @@ The preview reads the stored result, so a job runs its plan once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ordertide import schemas
-from ordertide.operators import charts, demand, ordering, quality
+from ordertide.operators import charts, demand, fulfillment, ordering, quality, trends
+from ordertide.operators.cleaning import cast_columns
 from ordertide.plans import demand as plans
 from ordertide.sources import readers, writers
 from ordertide.sources.settings import Connection, Settings
@@ -69,26 +71,63 @@ class Sink:
         return readers.read_parquet(df.sparkSession, self.path)
 
 
-def _base_features(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    return demand.with_demand_features(demand.demand_base(lines, orders, products))
+def _features(
+    lines: DataFrame, orders: DataFrame, products: DataFrame, order_columns: Sequence[str] = ()
+) -> DataFrame:
+    return demand.with_demand_features(demand.demand_base(lines, orders, products, order_columns))
+
+
+def _demand_summary(
+    lines: DataFrame, orders: DataFrame, products: DataFrame, *by: str
+) -> DataFrame:
+    """Totals by any columns of the orders, the products, or both."""
+    if set(by) <= set(orders.columns):
+        return plans.demand_by_order_attribute(lines, orders, products, *by)
+    known = schemas.DEMAND_FEATURES.fieldNames()
+    further = [c for c in by if c not in known]
+    return demand.demand_by(_features(lines, orders, products, further), *by)
+
+
+def _fulfillment(orders: DataFrame) -> DataFrame:
+    return fulfillment.order_fulfillment(cast_columns(orders, schemas.FULFILLMENT_DATES))
+
+
+def _service_kpis(
+    lines: DataFrame, orders: DataFrame, products: DataFrame, *by: str
+) -> DataFrame:
+    """KPIs over all orders, per order column, or per product."""
+    outcome = _fulfillment(orders)
+    if by == ("product_id",):
+        return fulfillment.service_kpis_by_product(outcome, lines)
+    return fulfillment.service_kpis(outcome, *by)
+
+
+def _demand_and_service(
+    lines: DataFrame, orders: DataFrame, products: DataFrame, *by: str
+) -> DataFrame:
+    return fulfillment.demand_and_service(_fulfillment(orders), lines, products, *by)
 
 
 @dataclass(frozen=True)
 class Report:
     """A table built from lines, orders and products, once ``clean`` has been over them.
 
-    ``from_features`` builds the same table from a stored demand base.
+    ``from_features`` builds the same table from a stored demand base. ``keyed``
+    reports take grouping columns. ``schema`` is declared where the columns are fixed.
     """
 
     path_name: str
-    clean: Callable[..., tuple[DataFrame, DataFrame, DataFrame]]
-    from_tables: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
-    from_features: Transform
-    in_order: Transform
+    from_tables: Callable[..., DataFrame]
+    from_features: Transform | None = None
+    clean: Callable[..., tuple[DataFrame, DataFrame, DataFrame]] = plans.cleaned
+    in_order: Transform = lambda df: df
+    keyed: bool = False
+    schema: StructType | None = None
 
 
 def _by_revenue(df: DataFrame) -> DataFrame:
-    return ordering.highest_first(df, "total_revenue", "product_id", "product_name")
+    ties = [c for c in df.columns if not c.startswith(("total_", "avg_"))]
+    return ordering.highest_first(df, "total_revenue", *ties)
 
 
 def _by_month(df: DataFrame) -> DataFrame:
@@ -98,28 +137,42 @@ def _by_month(df: DataFrame) -> DataFrame:
 REPORTS: Mapping[str, Report] = {
     "supply_chain_pipeline": Report(
         "output",
-        plans.cleaned_lines,
         plans.product_revenue,
         demand.product_revenue,
-        _by_revenue,
+        clean=plans.cleaned_lines,
+        in_order=_by_revenue,
+        schema=schemas.PRODUCT_REVENUE,
     ),
     "product_demand_base": Report(
-        "product_demand_base", plans.cleaned, _base_features, lambda df: df, lambda df: df
+        "product_demand_base", _features, lambda df: df, schema=schemas.DEMAND_FEATURES
     ),
     "product_demand_summary": Report(
         "product_demand_summary",
-        plans.cleaned,
         plans.product_demand_summary,
         demand.product_demand_summary,
-        _by_revenue,
+        in_order=_by_revenue,
+        schema=schemas.PRODUCT_DEMAND_SUMMARY,
     ),
     "product_demand_monthly": Report(
         "product_demand_monthly",
-        plans.cleaned,
         plans.product_demand_monthly,
         demand.product_demand_monthly,
-        _by_month,
+        in_order=_by_month,
+        schema=schemas.PRODUCT_DEMAND_MONTHLY,
+    ),
+    "daily_product_demand": Report(
+        "daily_product_demand", plans.daily_product_demand, demand.daily_product_demand
+    ),
+    "category_demand_monthly": Report(
+        "category_demand_monthly",
+        lambda *tables: demand.category_demand_monthly(_features(*tables)),
+        demand.category_demand_monthly,
     ),
+    "demand_summary": Report(
+        "demand_summary", _demand_summary, demand.demand_by, in_order=_by_revenue, keyed=True
+    ),
+    "service_kpis": Report("service_kpis", _service_kpis, keyed=True),
+    "demand_and_service": Report("demand_and_service", _demand_and_service, keyed=True),
 }
 
 
@@ -134,6 +187,7 @@ class ReportJob:
     sources: Mapping[str, Source]
     sink: Sink
     base: Source | None = None
+    by: tuple[str, ...] = ()
     preview_rows: int = 20
     ordered: bool = False
     lenient: bool = False
@@ -141,6 +195,10 @@ class ReportJob:
     def check(self) -> None:
         if self.report not in REPORTS:
             raise ValueError(f"no report {self.report!r}; known: {', '.join(REPORTS)}")
+        if self.by and not REPORTS[self.report].keyed:
+            raise ValueError(f"{self.report} takes no grouping columns")
+        if self.base is not None and REPORTS[self.report].from_features is None:
+            raise ValueError(f"{self.report} cannot be built from a demand base")
         if self.preview_rows < 0:
             raise ValueError("the number of preview rows cannot be negative")
         if self.base is not None:
@@ -156,10 +214,10 @@ class ReportJob:
     def build(self, spark: SparkSession) -> DataFrame:
         report = REPORTS[self.report]
         if self.base is not None:
-            result = report.from_features(self.base.load(spark))
+            result = report.from_features(self.base.load(spark), *self.by)
         else:
             raw = [self.sources[name].load(spark) for name in INPUTS]
-            result = report.from_tables(*report.clean(*raw, lenient=self.lenient))
+            result = report.from_tables(*report.clean(*raw, lenient=self.lenient), *self.by)
         return report.in_order(result) if self.ordered else result
 
     def run(self, spark: SparkSession) -> DataFrame:
@@ -228,6 +286,84 @@ class ChartsJob:
         return {"monthly_trend": trend, **stored}
 
 
+ANALYSES: Mapping[str, Callable[..., DataFrame]] = {
+    "top_products_by_revenue": lambda monthly, n: trends.top_products(monthly, n),
+    "top_products_by_units": lambda monthly, n: trends.top_products_by_units(monthly, n),
+    "category_share": lambda monthly, n: trends.category_share(monthly),
+    "demand_growth": lambda monthly, n: trends.demand_growth(monthly),
+    "period_summary": lambda monthly, n: trends.period_summary(monthly),
+}
+
+
+@dataclass(frozen=True)
+class AnalysisJob:
+    """Write one analysis of a stored monthly table.
+
+    The category narrows the table first. A product is chosen from the result,
+    because a share is of the whole category.
+    """
+
+    analysis: str
+    monthly: Source
+    sink: Sink
+    category_id: int | None = None
+    product_id: int | None = None
+    top_n: int = 10
+    preview_rows: int = 20
+
+    def check(self) -> None:
+        if self.analysis not in ANALYSES:
+            raise ValueError(f"no analysis {self.analysis!r}; known: {', '.join(ANALYSES)}")
+        if self.top_n < 1:
+            raise ValueError("top-n starts at 1")
+        self.monthly.check()
+        self.sink.check()
+
+    def run(self, spark: SparkSession) -> DataFrame:
+        self.check()
+        monthly = trends.select_products(self.monthly.load(spark), self.category_id)
+        result = ANALYSES[self.analysis](monthly, self.top_n)
+        stored = self.sink.save(trends.select_products(result, product_id=self.product_id))
+        show(stored, self.preview_rows)
+        return stored
+
+
+@dataclass(frozen=True)
+class QualityJob:
+    """Write the quality reports of the three raw inputs, one folder each."""
+
+    sources: Mapping[str, Source]
+    folder: str
+    null_threshold: float = 0.0
+    preview_rows: int = 20
+
+    def check(self) -> None:
+        if not self.folder:
+            raise ValueError("give an output folder for the quality reports")
+        for name in INPUTS:
+            if name not in self.sources:
+                raise ValueError(f"no source for {name}")
+            self.sources[name].check()
+
+    def run(self, spark: SparkSession) -> dict[str, DataFrame]:
+        self.check()
+        tables = {name: self.sources[name].load(spark) for name in INPUTS}
+        expected = dict(
+            zip(INPUTS, (schemas.ORDER_DETAILS, schemas.ORDERS, schemas.PRODUCTS), strict=True)
+        )
+        reports = {"integrity": quality.integrity_report(*tables.values())}
+        for name, table in tables.items():
+            reports[f"{name}_schema"] = quality.schema_report(table, expected[name])
+            reports[f"{name}_nulls"] = quality.null_report(table, default=self.null_threshold)
+        stored = {
+            name: Sink(path=f"{self.folder}/{name}").save(report)
+            for name, report in reports.items()
+        }
+        for report in stored.values():
+            show(report, self.preview_rows)
+        return stored
+
+
 @dataclass(frozen=True)
 class ProbeJob:
     """Show a few rows of a source and count it."""
@@ -273,17 +409,6 @@ def even_split(partitions: int) -> dict[str, readers.Split]:
     return {name: readers.Split(key, partitions) for name, key in keys.items()}
 
 
-def with_folder(job: ReportJob, folder: str) -> ReportJob:
-    """The same job, reading the inputs as files ``<folder>/<table>.parquet``."""
-    sources = {name: Source(path=f"{folder}/{name}.parquet") for name in INPUTS}
-    return replace(job, sources=sources)
-
-
-def expected_schema(report: str):
-    """The schema a report is declared to have."""
-    return {
-        "supply_chain_pipeline": schemas.PRODUCT_REVENUE,
-        "product_demand_base": schemas.DEMAND_FEATURES,
-        "product_demand_summary": schemas.PRODUCT_DEMAND_SUMMARY,
-        "product_demand_monthly": schemas.PRODUCT_DEMAND_MONTHLY,
-    }[report]
+def folder_sources(folder: str) -> dict[str, Source]:
+    """The three input tables as files ``<folder>/<table>.parquet``."""
+    return {name: Source(path=f"{folder}/{name}.parquet") for name in INPUTS}

@@ -159,10 +159,11 @@ def test_reports_from_tables_equal_join_then_aggregate(spark, seed):
 
 
 def test_declared_report_schemas(spark):
-    from ordertide.plans.jobs import REPORTS, expected_schema
-
-    for name, report in REPORTS.items():
-        built = report.from_tables(*small(spark))
-        assert [(f.name, f.dataType) for f in built.schema] == [
-            (f.name, f.dataType) for f in expected_schema(name)
-        ]
+    from ordertide.plans.jobs import REPORTS
+
+    for report in REPORTS.values():
+        if report.schema is not None:
+            built = report.from_tables(*small(spark))
+            assert [(f.name, f.dataType) for f in built.schema] == [
+                (f.name, f.dataType) for f in report.schema
+            ]
