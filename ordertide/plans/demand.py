@@ -21,15 +21,6 @@ from ordertide.functions import line_revenue, month_parts, ratio
 from ordertide.operators.cleaning import clean_order_details, clean_orders, clean_products
 
 
-def _line_totals() -> list[Column]:
-    return [
-        F.sum("quantity").alias("_units"),
-        F.sum(line_revenue()).alias("_revenue"),
-        F.sum("unit_price").alias("_price"),
-        F.count("unit_price").alias("_priced"),
-    ]
-
-
 def _times_copies(*names: str) -> list[Column]:
     return [F.sum(F.col(name) * F.col("_copies")).alias(name) for name in names]
 
@@ -38,7 +29,7 @@ def _mean_price() -> Column:
     return ratio(F.sum("_price"), F.sum("_priced"))
 
 
-def _distinct_orders(orders: DataFrame, *keys: Column | str) -> DataFrame:
+def _distinct_orders(orders: DataFrame, *keys: Column) -> DataFrame:
     """One row per order id and key, with the number of order rows it stands for.
 
     Lines are unique per order and product, so once orders are unique too a plain
@@ -139,27 +130,28 @@ def demand_by_order_attribute(
     another order column.
 
     Lines are totalled per order before they meet the orders, so an order of any
-    length is one row in that join.
+    length is one row in that join, and the distinct count that follows is over
+    orders already placed by their id.
     """
     per_order = (
         lines.join(products.select("product_id"), "product_id")
         .groupBy("order_id")
-        .agg(*_line_totals())
+        .agg(
+            F.sum("quantity").alias("_units"),
+            F.sum(line_revenue()).alias("_revenue"),
+            F.sum("unit_price").alias("_price"),
+            F.count("unit_price").alias("_priced"),
+        )
     )
     return (
-        _distinct_orders(orders, *keys)
+        orders.select("order_id", *keys)
         .join(per_order, "order_id")
         .groupBy(*keys)
         .agg(
-            *_times_copies("_units", "_revenue", "_price", "_priced"),
-            F.count("*").alias("order_count"),
-        )
-        .select(
-            *keys,
-            F.col("_units").alias("total_demand_units"),
-            F.col("_revenue").alias("total_revenue"),
-            "order_count",
-            ratio(F.col("_price"), F.col("_priced")).alias("avg_unit_price"),
+            F.sum("_units").alias("total_demand_units"),
+            F.sum("_revenue").alias("total_revenue"),
+            F.countDistinct("order_id").alias("order_count"),
+            _mean_price().alias("avg_unit_price"),
         )
     )
 
