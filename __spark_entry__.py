@@ -105,8 +105,9 @@ def line_revenue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    raw = (reader(spark, folder) for reader in (retail.order_details, retail.orders, retail.products))
-    return _money(plans.product_revenue(*plans.cleaned_lines(*raw)), "total_revenue")
+    tables = (retail.order_details, retail.orders, retail.products)
+    cleaned = plans.cleaned_lines(*(read(spark, folder) for read in tables))
+    return _money(plans.product_revenue(*cleaned), "total_revenue")
 
 
 def product_demand_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -317,8 +318,9 @@ def integrity_report(spark: SparkSession, folder: str) -> DataFrame:
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines exported as CSV, scanned back as text and cleaned."""
     location = staging.new_location(spark, "order_details_csv")
-    raw = retail.order_details(spark, folder)
-    raw.withColumn("quantity", F.col("quantity").cast("int")).write.option("header", True).csv(location)
+    whole = F.col("quantity").cast("int")
+    exported = retail.order_details(spark, folder).withColumn("quantity", whole)
+    exported.write.option("header", True).csv(location)
     return cleaning.clean_order_details(readers.read_csv(spark, location))
 
 

@@ -246,7 +246,8 @@ WHERE category_id = 1 AND product_id IN (SELECT product_id FROM picked)""",
 SELECT order_year_month, category_id, ROUND(SUM(monthly_revenue), 4) AS category_month_revenue
 FROM monthly GROUP BY order_year_month, category_id""",
         "category_share": f"WITH {MONTHLY}, {SHARE} SELECT * FROM share",
-        "category_share_of_one": f"WITH {MONTHLY}, {SHARE} SELECT * FROM share WHERE category_id = 1",
+        "category_share_of_one": f"""WITH {MONTHLY}, {SHARE}
+SELECT * FROM share WHERE category_id = 1""",
         "demand_growth": f"WITH {MONTHLY} {monthly_growth}",
         "period_summary": f"""WITH {MONTHLY}
 SELECT product_id, product_name,

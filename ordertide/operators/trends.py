@@ -147,7 +147,8 @@ def demand_growth(
 
 def period_summary(monthly: DataFrame) -> DataFrame:
     """Totals and monthly means per named product over the months present."""
-    return monthly.where(F.col("product_name").isNotNull()).groupBy("product_id", "product_name").agg(
+    named = monthly.where(F.col("product_name").isNotNull())
+    return named.groupBy("product_id", "product_name").agg(
         F.sum("monthly_demand_units").alias("total_demand_units"),
         F.sum("monthly_revenue").alias("total_revenue"),
         F.avg("monthly_demand_units").alias("avg_monthly_demand_units"),

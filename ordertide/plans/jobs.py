@@ -39,7 +39,8 @@ class Source:
         if not (self.connection and self.table) and not self.path:
             raise ValueError("give a JDBC url and input table, or an input path")
         if self.file_format not in FILE_READERS:
-            raise ValueError(f"no file format {self.file_format!r}; known: {', '.join(FILE_READERS)}")
+            known = ", ".join(FILE_READERS)
+            raise ValueError(f"no file format {self.file_format!r}; known: {known}")
 
     def load(self, spark: SparkSession) -> DataFrame:
         self.check()

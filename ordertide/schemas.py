@@ -31,7 +31,9 @@ def _schema(**columns: DataType) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
-ORDER_DETAILS = _schema(order_id=KEY, product_id=KEY, unit_price=MONEY, quantity=INT, discount=MONEY)
+ORDER_DETAILS = _schema(
+    order_id=KEY, product_id=KEY, unit_price=MONEY, quantity=INT, discount=MONEY
+)
 
 ORDERS = _schema(order_id=KEY, customer_id=TEXT, employee_id=KEY, order_date=DATE)
 
@@ -61,7 +63,9 @@ DEMAND_FEATURES = StructType(
     ).fields
 )
 
-PRODUCT_REVENUE = _schema(product_id=KEY, product_name=TEXT, total_revenue=MONEY, total_quantity=COUNT)
+PRODUCT_REVENUE = _schema(
+    product_id=KEY, product_name=TEXT, total_revenue=MONEY, total_quantity=COUNT
+)
 
 PRODUCT_DEMAND_SUMMARY = _schema(
     product_id=KEY,

@@ -65,14 +65,16 @@ class Settings:
 
     def table(self, name: str) -> str:
         if name not in self.tables:
-            raise ValueError(f"no table {name!r} in the configuration; known: {sorted(self.tables)}")
+            known = ", ".join(sorted(self.tables))
+            raise ValueError(f"no table {name!r} in the configuration; known: {known}")
         return self.tables[name]
 
     def path(self, name: str, override: str | Path | None = None) -> str:
         if override is not None:
             return os.fspath(override)
         if name not in self.paths:
-            raise ValueError(f"no path {name!r} in the configuration; known: {sorted(self.paths)}")
+            known = ", ".join(sorted(self.paths))
+            raise ValueError(f"no path {name!r} in the configuration; known: {known}")
         return self.paths[name]
 
     def connection(
