@@ -22,6 +22,14 @@ from ordertide.operators import charts, cleaning, demand, fulfillment, ordering,
 from ordertide.plans import demand as plans
 from ordertide.sources import readers, retail, staging, writers
 
+try:
+    import corpus_pipeline
+    from ordertide.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ordertide.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,6 +346,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    found = _own_queries()
+    if llm_queries is not None:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         "order_details_clean": order_details_clean,
         "order_details_demand_clean": _lines,
@@ -389,4 +404,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    found = oracle.statements()
+    if llm_queries is not None:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
