@@ -15,8 +15,8 @@ the training sample, at most ``sample_rows`` texts of a language.
 A text that is null or has no letter is ``und`` with score 0; so is every text
 if nothing was learned. The score is the winner's share of 2**-length among the
 languages. Ties go to the language that comes first by name. Languages are
-learned from rows with non-null text and label; repeated rows count as often as
-they occur in the sample. Only the named columns are read.
+learned from rows with non-null text and label, repeated texts once. Only the named
+columns are read.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import store, text
 
-#: Training texts of a language at most; the sample is by a hash of the text.
+#: Distinct training texts of a language at most; the sample is by a hash of the text.
 SAMPLE_ROWS = 300
 #: Bytes of one training text at most; longer ones are left out of the sample.
 SAMPLE_BYTES = 20_000
@@ -43,11 +43,17 @@ _LETTER = regex.compile(r"\p{L}")
 def training_sample(
     docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS, label: str = "lang", text_column: str = "text"
 ) -> DataFrame:
-    """(lang, text): per language the texts with the smallest hashes among those of bounded length."""
+    """(lang, text): per language the distinct texts of bounded length with the smallest hashes."""
     chosen = docs.where(learn).select(F.col(label).alias("lang"), F.col(text_column).alias("text"))
     chosen = chosen.where(F.col("lang").isNotNull() & F.octet_length("text").between(1, SAMPLE_BYTES))
-    ranked = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    return chosen.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") <= rows).drop("_n")
+    chosen = chosen.withColumn("_h", F.xxhash64("text"))
+    # Hashes below a language's share of their range: about four times the rows wanted, however many there are.
+    counts = chosen.groupBy("lang").agg(F.approx_count_distinct("_h").alias("_n"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * rows) / F.greatest("_n", F.lit(1)))
+    few = chosen.join(counts, "lang").where(F.col("_h").cast("double") <= (2 * share - 1) * float(1 << 63))
+    distinct = few.groupBy("lang", "_h").agg(F.min("text").alias("text"))
+    ranked = Window.partitionBy("lang").orderBy("_h")
+    return distinct.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") <= rows).select("lang", "text")
 
 
 class Model:
