@@ -50,7 +50,8 @@ def training_sample(
     # Hashes below a language's share of their range: about four times the rows wanted, however many there are.
     counts = chosen.groupBy("lang").agg(F.approx_count_distinct("_h").alias("_n"))
     share = F.least(F.lit(1.0), F.lit(4.0 * rows) / F.greatest("_n", F.lit(1)))
-    few = chosen.join(counts, "lang").where(F.col("_h").cast("double") <= (2 * share - 1) * float(1 << 63))
+    # One row per language, as the model has one tree per language.
+    few = chosen.join(F.broadcast(counts), "lang").where(F.col("_h").cast("double") <= (2 * share - 1) * float(1 << 63))
     distinct = few.groupBy("lang", "_h").agg(F.min("text").alias("text"))
     ranked = Window.partitionBy("lang").orderBy("_h")
     return distinct.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") <= rows).select("lang", "text")
