@@ -28,10 +28,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import store
+from . import store, text
 
 #: Pre-tokens and pairs that a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 _NONE = -1
 
 
@@ -39,8 +39,12 @@ def read_ranks(lines: list[bytes]) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines if x.strip())}
 
 
+def decoded(tokens: dict[int, bytes], ids: list[int]) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids))
+
+
 class Encoder:
-    """Encodes the bytes of one pre-token into ids, and ids into bytes."""
+    """Encodes the bytes of one pre-token into ids."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -146,9 +150,6 @@ class Encoder:
                 token = self.prefix.get(token, _NONE)
         return ids
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
 
 class Remembered(dict):
     """Encoded pre-tokens as little-endian 32-bit ids."""
@@ -196,7 +197,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = regex.compile(pattern)
         remembered = _worker(key, shared.value.split(b"\n"))
-        for batch in batches:
+        for batch in (part for whole in batches for part in text.parts(whole, 0)):
             made = [b"".join(map(remembered.__getitem__, pieces.findall(x or ""))) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k + 1) for k in range(len(columns))), pa.array(made, pa.binary()), pa.array([len(x) // 4 for x in made], pa.int64())],
@@ -209,13 +210,13 @@ def encode(
 
 def decode(encoded: DataFrame, vocabulary: str = "", columns: tuple[str, ...] = ("doc_id", "n_tokens", "ids")) -> DataFrame:
     """``columns`` with ``decoded``, the bytes that the ids stand for; null ids decode to nothing."""
-    key, shared = _vocabulary(encoded.sparkSession, vocabulary)
+    _, shared = _vocabulary(encoded.sparkSession, vocabulary)
     fields = ", ".join(f"`{name}` {kind}" for name, kind in encoded.select(*columns).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _worker(key, shared.value.split(b"\n")).encoder
-        for batch in batches:
-            made = [encoder.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(0).to_pylist()]
+        tokens = {rank: token for token, rank in read_ranks(shared.value.split(b"\n")).items()}
+        for batch in (part for whole in batches for part in text.parts(whole, 0)):
+            made = [decoded(tokens, np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(0).to_pylist()]
             kept = [batch.column(k + 1) for k in range(len(columns))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.binary())], names=[*columns, "decoded"])
 

@@ -49,7 +49,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the hash base modulo 2**64, and their inverses."""
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]), SLICE_BYTES + 64)
+        size = max(n + n // 8, SLICE_BYTES + 64)
         made = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             factors = np.full(size, base, np.uint64)
@@ -111,6 +111,17 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
+def parts(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in successive pieces of about ``size`` bytes of a text or binary column."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    at = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    row = 0
+    while row < batch.num_rows:
+        end = max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1)
+        yield batch.slice(row, end - row)
+        row = end
+
+
 @dataclass(frozen=True)
 class Words:
     """Words of a slice: byte ranges, 64-bit hashes, and the index of each row's first word."""
