@@ -6,6 +6,8 @@ each shard by taking the list of its rarest term there, shifting it by the
 term's offset, and intersecting it with the shifted lists of the other terms,
 rarest first. Shards are independent, so nothing is shuffled, a hot source or
 term has no effect on other shards, and a lost task rebuilds its shard alone.
+The index is written to the shared folder and searched from there; it takes about
+six bytes a word.
 
 Null or empty texts have no words. An item of fewer words than a window, but
 not none, is one window. Repeated items (same id) count once by id; a null
@@ -31,7 +33,7 @@ from . import store, text
 WINDOW = 10
 #: Benchmark windows are broadcast, in blocks of at most this many items' rows.
 ITEM_BLOCK = 20_000
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 INDEX = "shard string, doc_ids array<bigint>, doc_starts binary, terms binary, lists binary, places binary"
 
@@ -75,11 +77,11 @@ class Shard:
         order = np.argsort(found.hashes, kind="stable")
         ordered = found.hashes[order]
         begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
-        return cls(found.rows.astype(np.int64), ordered[begins], np.append(begins, len(ordered)).astype(np.int64), order.astype(np.uint32))
+        return cls(found.rows.astype(np.int64), ordered[begins], np.append(begins, len(ordered)).astype(np.uint32), order.astype(np.uint32))
 
     @classmethod
     def read(cls, row: dict) -> Shard:
-        kinds = (("doc_starts", np.int64), ("terms", np.uint64), ("lists", np.int64), ("places", np.uint32))
+        kinds = (("doc_starts", np.int64), ("terms", np.uint64), ("lists", np.uint32), ("places", np.uint32))
         return cls(*(np.frombuffer(row[name], kind) for name, kind in kinds))
 
     def numbers(self, terms: np.ndarray) -> np.ndarray:
@@ -90,7 +92,7 @@ class Shard:
         return np.where(self.terms[at] == terms, at, -1)
 
     def lengths(self, numbers: np.ndarray) -> np.ndarray:
-        return np.where(numbers < 0, 0, self.begins[numbers + 1] - self.begins[numbers])
+        return np.where(numbers < 0, 0, self.begins[numbers + 1].astype(np.int64) - self.begins[numbers])
 
     def listed(self, number: int) -> np.ndarray:
         return self.places[self.begins[number] : self.begins[number + 1]].astype(np.int64)
@@ -242,12 +244,10 @@ def matches(
 
     ``within`` asks for proximity instead of phrases: all words of a window at most so
     many words from its rarest one. A benchmark of more than ``item_block`` rows is
-    searched block after block against a written index.
+    searched block after block.
     """
     shared = list(_blocks(_items(benchmark, item_column, "text"), window, item_block))
-    index = build_index(docs)
-    if len(shared) > 1:
-        index = store.written(index, "postings")
+    index = store.written(build_index(docs), "postings")
     found = _search_block(index, shared[0], within)
     for block in shared[1:]:
         found = found.unionByName(_search_block(index, block, within))
