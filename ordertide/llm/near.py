@@ -8,10 +8,11 @@ into 512 parity bits; the bits in which two sketches differ tell in how many pos
 the values differ, and pairs that differ too much to be links are left at that. All
 others are confirmed on their full sets.
 
-A bucket is not expanded into pairs. First each member is compared with the smallest
-one only. Then, with the components so found, members that are not in the smallest
-one's component are compared with members of other components; no other pair of the
-bucket could join components. A true link at similarity 0.75 shares no band with
+A bucket is not expanded into pairs. First each node is compared with the smallest one
+of all its buckets; then with the smallest of each of them, where the two are still in
+different components; last, members that are not in the component of their bucket's
+smallest are compared with members of other components, in blocks. No other pair of a bucket
+could join components. A true link at similarity 0.75 shares no band with
 probability 5e-6, and fails the sketch with less than 1e-6.
 
 Documents without words or text have an empty set and are linked with nothing. Rows of
@@ -37,6 +38,9 @@ BAND = 4
 SKETCH_BITS = 512
 #: Sketch bits in which two sets of similarity 0.5 differ on average; 5 standard deviations above 0.75.
 MOST_DIFFERENT = 100
+#: Nodes of a block whose bucket's smallest is in another component, and nodes they are compared with.
+OPEN_BLOCK = 1000
+MEMBER_BLOCK = 4000
 _RNG = np.random.default_rng(8)
 _XOR = _RNG.integers(0, 1 << 32, VALUES, dtype=np.uint32)[:, None]
 _FACTOR = (_RNG.integers(0, 1 << 31, VALUES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -123,19 +127,22 @@ def _differ(a: str, b: str) -> Column:
     return sum(each[1:], each[0])
 
 
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    """The shingles of every row of a text column."""
+    out: list[np.ndarray] = []
+    for first, last, data, offsets in text.slices(column):
+        found = text.words(data, offsets, text.LOWER_TOKENS)
+        windows = text.window_hashes(text.prefix_hashes(found.hashes), SHINGLE)
+        out += [shingles(found, row, windows) for row in range(last - first)]
+    return out
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Those pairs (a, b) whose full shingle sets have ``similarity`` percent of their union in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets: list[list[np.ndarray]] = []
-            for column in (2, 3):
-                own: list[np.ndarray] = []
-                for first, last, data, offsets in text.slices(batch.column(column)):
-                    found = text.words(data, offsets, text.LOWER_TOKENS)
-                    windows = text.window_hashes(text.prefix_hashes(found.hashes), SHINGLE)
-                    own += [shingles(found, row, windows) for row in range(last - first)]
-                sets.append(own)
+            sets = [_sets(batch.column(column)) for column in (2, 3)]
             linked = []
             for x, y in zip(*sets, strict=True):
                 common = len(np.intersect1d(x, y, assume_unique=True))
@@ -148,6 +155,73 @@ def confirmed(pairs: DataFrame, texts: DataFrame, similarity: int = SIMILARITY)
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those pairs (a, b) whose sketches do not differ too much."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sketches.select(F.col("node").alias(side), F.col("sketch").alias(f"_{side}")), side)
+    return pairs.where(_differ("_a", "_b") <= MOST_DIFFERENT).select("a", "b")
+
+
+def _open_links(members: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
+    """Links between members that are outside the component of their bucket's smallest and other components.
+
+    Buckets of one such component are taken together. Its open nodes and all its nodes are cut into
+    blocks of bounded size, every block of the ones meets every block of the others in a task of
+    its own, and only links are put out, one for a node and another component.
+    """
+    open_ = F.col("label") != F.col("_least")
+    buckets = members.where(open_).select("bucket").distinct()
+    nodes = members.join(buckets, "bucket", "left_semi").select(F.col("_least").alias("group"), "node", "label").distinct()
+    nodes = store.written(nodes.withColumn("open", F.col("label") != F.col("group")), "open")
+    blocks = nodes.groupBy("group").agg(
+        F.ceil(F.count_if("open") / OPEN_BLOCK).cast("int").alias("_opens"), F.ceil(F.count(F.lit(1)) / MEMBER_BLOCK).cast("int").alias("_all")
+    )
+    nodes = nodes.join(blocks, "group")
+    own = F.pmod(F.xxhash64("node"), F.col("_opens")).cast("int")
+    rows = nodes.where("open").select("group", own.alias("i"), F.explode(F.sequence(F.lit(0), F.col("_all") - 1)).alias("j"), F.lit(True).alias("asks"), "node", "label")
+    own = F.pmod(F.xxhash64("node"), F.col("_all")).cast("int")
+    rows = rows.unionByName(
+        nodes.select("group", F.explode(F.sequence(F.lit(0), F.col("_opens") - 1)).alias("i"), own.alias("j"), F.lit(False).alias("asks"), "node", "label")
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+        sets = _sets(table.column("text").combine_chunks())
+        others = np.flatnonzero(~asks)
+        sizes = np.array([len(sets[i]) for i in others], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in others)])
+        filled = sizes > 0
+        begins = (np.cumsum(sizes) - sizes)[filled]
+        out: list[tuple[int, int]] = []
+        order = np.argsort(flat, kind="stable")
+        ordered = flat[order]
+        for i in np.flatnonzero(asks):
+            own = sets[i]
+            # Places in `flat` of the shingles that this node has.
+            low, high = np.searchsorted(ordered, own, "left"), np.searchsorted(ordered, own, "right")
+            per = high - low
+            at = order[np.repeat(low, per) + np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)]
+            common = np.zeros(len(others), np.int64)
+            common[filled] = np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(begins))
+            linked = (common > 0) & (100 * common >= similarity * (len(own) + sizes - common)) & (label[others] != label[i])
+            _, one = np.unique(label[others][linked], return_index=True)
+            out += [(max(node[i], m), min(node[i], m)) for m in node[others][linked][one]]
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    rows = rows.join(texts.withColumnRenamed("doc_id", "node"), "node")
+    return rows.groupBy("group", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _extended(links: DataFrame, found: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and components with more links, if there are any."""
+    more = store.written(more, "links")
+    if more.isEmpty():
+        return links, found
+    links = links.unionByName(more)
+    return links, store.written(components.labels(links), "components")
+
+
 def components_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links), kept (is that document)."""
     signed = store.written(signatures(docs, id_column, text_column), "signatures")
@@ -165,29 +239,28 @@ def components_of(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     texts = store.written(texts.join(wanted, "doc_id", "left_semi"), "candidates")
     sketches = nodes.select("node", "sketch").groupBy("node").agg(F.first("sketch").alias("sketch"))
 
-    stars = members.where(F.col("node") != F.col("least")).select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    stars = stars.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("_a")), "a")
-    stars = stars.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("_b")), "b")
-    stars = stars.where(_differ("_a", "_b") <= MOST_DIFFERENT).select("a", "b")
-    links = store.written(confirmed(stars, texts, similarity), "links")
+    # Round 1: every node with the smallest that any of its buckets has, one pair a node.
+    to_least = members.where(F.col("node") != F.col("least"))
+    first_pairs = to_least.groupBy("node").agg(F.min("least").alias("least")).select(F.col("node").alias("a"), F.col("least").alias("b"))
+    links = store.written(confirmed(_alike(first_pairs, sketches), texts, similarity), "links")
     found = store.written(components.labels(links), "components")
 
-    # Members whose component is not that of their bucket's smallest: what the stars left open.
+    # Round 2: with the smallest of each other bucket, where that is still in another component.
+    def apart(pairs: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            own = found.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
+            pairs = pairs.join(own, side, "left")
+        return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b").distinct()
+
+    stars = apart(to_least.select(F.col("node").alias("a"), F.col("least").alias("b")))
+    links, found = _extended(links, found, confirmed(_alike(stars, sketches), texts, similarity))
+
+    # Round 3: members whose component is not that of their bucket's smallest, with members of other components.
     label = F.coalesce("component", "node")
     own = members.join(found, "node", "left").select("bucket", "node", "least", label.alias("label"))
     first = found.select(F.col("node").alias("least"), F.col("component").alias("_least"))
     own = own.join(first, "least", "left").withColumn("_least", F.coalesce("_least", "least"))
-    own = store.written(own.join(sketches, "node").select("bucket", "node", "label", "_least", "sketch"), "open")
-    rest = own.where(F.col("label") != F.col("_least"))
-    rest = rest.select("bucket", F.col("node").alias("a"), F.col("label").alias("_la"), F.col("sketch").alias("_a"))
-    others = own.select("bucket", F.col("node").alias("b"), F.col("label").alias("_lb"), F.col("sketch").alias("_b"))
-    near = (F.col("_la") != F.col("_lb")) & (_differ("_a", "_b") <= MOST_DIFFERENT)
-    matched = rest.join(others, (rest["bucket"] == others["bucket"]) & near).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    )
-    more = store.written(confirmed(matched.distinct().join(stars, ["a", "b"], "left_anti"), texts, similarity), "links")
-    if not more.isEmpty():
-        found = store.written(components.labels(links.unionByName(more)), "components")
+    links, found = _extended(links, found, _open_links(own, texts, similarity))
 
     named = filled.join(nodes.select("k1", "k2", "node"), ["k1", "k2"]).select("doc_id", "node").distinct()
     grouped = named.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
