@@ -40,6 +40,8 @@ from pyspark.sql.types import StructType
 from . import keys as k
 from . import store, text
 
+#: Text that a shard resolves at once.
+PORTION_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max
 #: Smaller than any id: every document that has the window is past its first occurrence.
 EARLIER = np.iinfo(np.int64).min
@@ -173,8 +175,8 @@ def _contexts(spec: Spec, shards: int):
     """Step 3: a block's distinct contexts of shared anchors, with their text."""
 
     def run(table: pa.Table, shared: pa.Table) -> pa.Table:
-        names = ("shard", "block", "hash", "anchor", "least", "most", "n", "size", "text")
-        schema = [pa.int32(), pa.int32(), *[pa.binary()] * 7]
+        names = ("shard", "block", "hash", "to", "anchor", "least", "most", "n", "size", "text")
+        schema = [pa.int32(), pa.int32(), *[pa.binary()] * 8]
         if not table.num_rows or not shared.num_rows:
             return pa.table([pa.array([], t) for t in schema], names=names)
         keys = np.concatenate([k.unpack(x.as_py()) for x in shared.column("keys")])
@@ -234,13 +236,13 @@ def _contexts(spec: Spec, shards: int):
             content = _gather(raw, ends[source] - size[source], ends[source])
             rows.append(
                 (
-                    int(s), block, distinct[chosen].tobytes(), anchor[source].tobytes(), low[chosen].tobytes(),
+                    int(s), block, distinct[chosen].tobytes(), to[source].tobytes(), anchor[source].tobytes(), low[chosen].tobytes(),
                     high[chosen].tobytes(), n[source].astype(np.uint32).tobytes(), size[source].astype(np.uint32).tobytes(), content.tobytes(),
                 )
             )
         return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema, strict=True)], names=names)
 
-    return run, "shard int, block int, hash binary, anchor binary, least binary, most binary, n binary, size binary, text binary"
+    return run, "shard int, block int, hash binary, to binary, anchor binary, least binary, most binary, n binary, size binary, text binary"
 
 
 #: Given distinct contexts (their text with offsets, windows, smallest ids), the smallest id of each
@@ -248,6 +250,19 @@ def _contexts(spec: Spec, shards: int):
 Resolver = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
+def _portions(to: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """Contexts in portions of bounded text; those sent by the same hash stay together, as others share no window."""
+    order = np.argsort(to, kind="stable")
+    ends = np.cumsum(size[order])
+    last = np.concatenate([to[order][1:] != to[order][:-1], [True]])
+    cuts, taken = [], 0
+    for at in np.flatnonzero(last):
+        if ends[at] - taken >= PORTION_BYTES:
+            cuts.append(at + 1)
+            taken = ends[at]
+    return [x for x in np.split(order, cuts) if len(x)]
+
+
 def _resolved(resolver: Resolver):
     """Step 4, in a shard: which windows of which context are repeats past which id."""
 
@@ -262,17 +277,20 @@ def _resolved(resolver: Resolver):
         distinct, one, inverse = np.unique(entry_hash, return_index=True, return_inverse=True)
         low = np.full(len(distinct), LAST)
         np.minimum.at(low, inverse, least)
-        content = _gather(raw, ends[one] - size[one], ends[one])
-        offsets = np.concatenate([[0], np.cumsum(size[one])])
-        first_id = resolver(content, offsets, n[one], low)
-        # Runs of windows of a context with the same first id.
-        owner = np.repeat(np.arange(len(distinct)), n[one])
-        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (first_id[1:] != first_id[:-1])])
-        begins = np.flatnonzero(new)
-        run_owner, run_id = owner[begins], first_id[begins]
-        context_begin = np.cumsum(n[one]) - n[one]
-        run_first = begins - context_begin[run_owner]
-        run_end = np.append(begins[1:], len(owner)) - context_begin[run_owner]
+        found = []
+        for part in _portions(np.concatenate(_joined(table, "to", np.uint64))[one], size[one]):
+            chosen = one[part]
+            content = _gather(raw, ends[chosen] - size[chosen], ends[chosen])
+            offsets = np.concatenate([[0], np.cumsum(size[chosen])])
+            first_id = resolver(content, offsets, n[chosen], low[part])
+            # Runs of windows of a context with the same first id.
+            owner = np.repeat(np.arange(len(part)), n[chosen])
+            begins = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (first_id[1:] != first_id[:-1])]))
+            shift = (np.cumsum(n[chosen]) - n[chosen])[owner[begins]]
+            found.append((part[owner[begins]], begins - shift, np.append(begins[1:], len(owner)) - shift, first_id[begins]))
+        run_owner, run_first, run_end, run_id = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(run_owner, kind="stable")
+        run_owner, run_first, run_end, run_id = (x[order] for x in (run_owner, run_first, run_end, run_id))
         runs_at = np.searchsorted(run_owner, np.arange(len(distinct) + 1))
         entries = np.cumsum(counts)
         out: list[list] = [[], [], [], [], [], []]
