@@ -9,7 +9,7 @@ each by blocks of documents and shards of keys:
    distinct anchors of its documents to the shards of their hashes.
 2. A shard answers with the anchors that occur more than once.
 3. The windows of one such anchor overlap, and together are a context. A block sends
-   its distinct contexts, as text, with the smallest and largest id that has them, to
+   its distinct contexts, as text, with the smallest id and whether others have them, to
    the anchor's shard. An anchor with more than ``hot`` occurrences is split: each of
    its windows goes alone to the shard of its own hash, so a passage that very many
    documents share gives one row per block and window, spread over all shards.
@@ -40,6 +40,8 @@ from pyspark.sql.types import StructType
 from . import keys as k
 from . import store, text
 
+#: Marks, beside the number of windows, a context that more than one document of the block has.
+SEVERAL = 1 << 31
 #: Text that a shard resolves at once.
 PORTION_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max
@@ -175,8 +177,8 @@ def _contexts(spec: Spec, shards: int):
     """Step 3: a block's distinct contexts of shared anchors, with their text."""
 
     def run(table: pa.Table, shared: pa.Table) -> pa.Table:
-        names = ("shard", "block", "hash", "to", "anchor", "least", "most", "n", "size", "text")
-        schema = [pa.int32(), pa.int32(), *[pa.binary()] * 8]
+        names = ("shard", "block", "to", "anchor", "least", "n", "size", "text")
+        schema = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
         if not table.num_rows or not shared.num_rows:
             return pa.table([pa.array([], t) for t in schema], names=names)
         keys = np.concatenate([k.unpack(x.as_py()) for x in shared.column("keys")])
@@ -236,13 +238,15 @@ def _contexts(spec: Spec, shards: int):
             content = _gather(raw, ends[source] - size[source], ends[source])
             rows.append(
                 (
-                    int(s), block, distinct[chosen].tobytes(), to[source].tobytes(), anchor[source].tobytes(), low[chosen].tobytes(),
-                    high[chosen].tobytes(), n[source].astype(np.uint32).tobytes(), size[source].astype(np.uint32).tobytes(), content.tobytes(),
+                    int(s), block, (to[source] & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), anchor[source].tobytes(),
+                    low[chosen].tobytes(), (n[source] | np.where(high[chosen] > low[chosen], SEVERAL, 0)).astype(np.uint32).tobytes(),
+                    size[source].astype(np.uint32).tobytes(), pa.compress(content.tobytes(), codec="zstd", asbytes=True),
                 )
             )
+        pa.default_memory_pool().release_unused()
         return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema, strict=True)], names=names)
 
-    return run, "shard int, block int, hash binary, to binary, anchor binary, least binary, most binary, n binary, size binary, text binary"
+    return run, "shard int, block int, to binary, anchor binary, least binary, n binary, size binary, text binary"
 
 
 #: Given distinct contexts (their text with offsets, windows, smallest ids), the smallest id of each
@@ -263,22 +267,38 @@ def _portions(to: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
     return [x for x in np.split(order, cuts) if len(x)]
 
 
-def _resolved(resolver: Resolver):
+def _context_hashes(spec: Spec, raw: np.ndarray, size: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The hashes that the contexts of these texts, one after the other, have in their blocks."""
+    ends = np.cumsum(size)
+    out, at = [np.zeros(0, np.uint64)], 0
+    while at < len(size):
+        after = max(at + 1, int(np.searchsorted(ends, ends[at] + text.SLICE_BYTES)))
+        begin = ends[at] - size[at]
+        units = Units(spec, raw[begin : ends[after - 1]], np.concatenate([[0], ends[at:after] - begin]))
+        first = units.rows[:-1]
+        out.append(text.range_hashes(units.prefix, first, first + n[at:after] - 1 + spec.length))
+        at = after
+    return np.concatenate(out)
+
+
+def _resolved(spec: Spec, resolver: Resolver):
     """Step 4, in a shard: which windows of which context are repeats past which id."""
 
     def run(table: pa.Table) -> pa.Table:
-        hashes = _joined(table, "hash", np.uint64)
-        counts = np.array([len(x) for x in hashes])
-        entry_hash, anchor = np.concatenate(hashes), np.concatenate(_joined(table, "anchor", np.uint64))
-        least, most = (np.concatenate(_joined(table, x, np.int64)) for x in ("least", "most"))
-        n, size = (np.concatenate(_joined(table, x, np.uint32)).astype(np.int64) for x in ("n", "size"))
-        raw = np.concatenate(_joined(table, "text", np.uint8))
+        least, anchor = np.concatenate(_joined(table, "least", np.int64)), np.concatenate(_joined(table, "anchor", np.uint64))
+        sizes = _joined(table, "size", np.uint32)
+        counts = np.array([len(x) for x in sizes])
+        size = np.concatenate(sizes).astype(np.int64)
+        n = np.concatenate(_joined(table, "n", np.uint32)).astype(np.int64)
+        several, n = n & SEVERAL > 0, n & ~SEVERAL
+        packed = zip(table.column("text"), sizes, strict=True)
+        raw = np.concatenate([np.frombuffer(pa.decompress(x.as_py(), int(y.sum()), codec="zstd", asbytes=True), np.uint8) for x, y in packed])
         ends = np.cumsum(size)
-        distinct, one, inverse = np.unique(entry_hash, return_index=True, return_inverse=True)
+        distinct, one, inverse = np.unique(_context_hashes(spec, raw, size, n), return_index=True, return_inverse=True)
         low = np.full(len(distinct), LAST)
         np.minimum.at(low, inverse, least)
         found = []
-        for part in _portions(np.concatenate(_joined(table, "to", np.uint64))[one], size[one]):
+        for part in _portions(np.concatenate(_joined(table, "to", np.uint16))[one], size[one]):
             chosen = one[part]
             content = _gather(raw, ends[chosen] - size[chosen], ends[chosen])
             offsets = np.concatenate([[0], np.cumsum(size[chosen])])
@@ -299,13 +319,14 @@ def _resolved(resolver: Resolver):
             own = inverse[part]
             per = runs_at[own + 1] - runs_at[own]
             run = np.repeat(runs_at[own], per) + np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
-            told = run_id[run] < np.repeat(most[part], per)
+            told = (run_id[run] < np.repeat(least[part], per)) | np.repeat(several[part], per)
             if told.any():
                 run = run[told]
                 split = np.repeat(anchor[part], per)[told]
                 values = (block, distinct[run_owner[run]], split, run_first[run].astype(np.uint32), run_end[run].astype(np.uint32), run_id[run])
                 for column, value in zip(out, values, strict=True):
                     column.append(value if isinstance(value, int) else value.tobytes())
+        pa.default_memory_pool().release_unused()
         return pa.table({"block": pa.array(out[0], pa.int32())} | {x: _bytes(v) for x, v in zip(("hash", "anchor", "first", "end", "id"), out[1:], strict=True)})
 
     return run, "block int, hash binary, anchor binary, first binary, end binary, id binary"
@@ -350,6 +371,7 @@ def _marked(spec: Spec, columns: tuple[str, ...], finish: Finish, schema: pa.Sch
                 cover = text.covered(len(cover), begin + first[at], begin + end[at] - 1 + spec.length)
             kept = {name: table.column(name).slice(first_row, last_row - first_row).combine_chunks() for name in columns}
             made.append(pa.table(kept | finish(units, cover)))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(made).cast(schema)
 
     return run
@@ -377,7 +399,7 @@ def find(
     anchors, anchors_schema = _anchors(spec, parts)
     shared, shared_schema = _shared(spec)
     contexts, contexts_schema = _contexts(spec, parts)
-    resolved, resolved_schema = _resolved(resolver)
+    resolved, resolved_schema = _resolved(spec, resolver)
     keys = blocks.groupBy("_block").applyInArrow(anchors, anchors_schema).groupBy("shard").applyInArrow(shared, shared_schema)
     sent = blocks.groupBy("_block").cogroup(keys.groupBy("block")).applyInArrow(contexts, contexts_schema)
     told = sent.groupBy("shard").applyInArrow(resolved, resolved_schema)
