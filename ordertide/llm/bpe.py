@@ -6,7 +6,7 @@ longest token that begins there; a token may follow another only if the two are
 what BPE itself makes of their joint bytes, which is decided once per pair and
 remembered; and where no token fits, the walk goes back and takes the next
 shorter one. Each byte is tried at most once, so the time is linear. Encoded
-pre-tokens are remembered by each worker up to a fixed number.
+pre-tokens are remembered by each task up to a fixed number.
 
 Null is an empty text; an empty text has no tokens. Decoding gives the exact
 bytes back. Rows are independent, repeated rows are encoded again, and only the
@@ -16,7 +16,6 @@ named columns are read.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
@@ -30,8 +29,8 @@ from pyspark.sql import functions as F
 
 from . import store, text
 
-#: Pre-tokens and pairs that a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+#: Pre-tokens and pairs that a task remembers before it starts afresh.
+REMEMBERED = 250_000
 _NONE = -1
 
 
@@ -165,22 +164,11 @@ class Remembered(dict):
         return made
 
 
-_workers: dict[str, Remembered] = {}
-
-
-def _worker(key: str, lines: list[bytes]) -> Remembered:
-    if key not in _workers:
-        _workers.clear()
-        _workers[key] = Remembered(Encoder(read_ranks(lines)))
-    return _workers[key]
-
-
-def _vocabulary(spark: SparkSession, path: str) -> tuple[str, Broadcast]:
-    """The rank file, read by the driver and broadcast, with a name for its content."""
+def _vocabulary(spark: SparkSession, path: str) -> Broadcast:
+    """The rank file, read by the driver and broadcast."""
     store.ship(spark)
     with open(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
-        content = file.read()
-    return hashlib.sha256(content).hexdigest(), spark.sparkContext.broadcast(content)
+        return spark.sparkContext.broadcast(file.read())
 
 
 def encode(
@@ -191,12 +179,12 @@ def encode(
     columns: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """``columns`` with ids (binary, little-endian unsigned 32 bits) and n_tokens of every text."""
-    key, shared = _vocabulary(docs.sparkSession, vocabulary)
+    shared = _vocabulary(docs.sparkSession, vocabulary)
     fields = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*columns).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = regex.compile(pattern)
-        remembered = _worker(key, shared.value.split(b"\n"))
+        remembered = Remembered(Encoder(read_ranks(shared.value.split(b"\n"))))
         for batch in (part for whole in batches for part in text.parts(whole, 0)):
             made = [b"".join(map(remembered.__getitem__, pieces.findall(x or ""))) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -210,7 +198,7 @@ def encode(
 
 def decode(encoded: DataFrame, vocabulary: str = "", columns: tuple[str, ...] = ("doc_id", "n_tokens", "ids")) -> DataFrame:
     """``columns`` with ``decoded``, the bytes that the ids stand for; null ids decode to nothing."""
-    _, shared = _vocabulary(encoded.sparkSession, vocabulary)
+    shared = _vocabulary(encoded.sparkSession, vocabulary)
     fields = ", ".join(f"`{name}` {kind}" for name, kind in encoded.select(*columns).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
