@@ -13,11 +13,20 @@ _PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
 
 
+#: Rows of a batch between Spark and Python. Texts are long: at Spark's default of 10,000
+#: rows a batch of documents takes tens of megabytes, several times in each task.
+BATCH_ROWS = "1000"
+_ROWS_SETTING, _DEFAULT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's modules to the executors, once per application.
 
-    Functions that run in tasks are pickled by name, so workers must import them.
+    Functions that run in tasks are pickled by name, so workers must import them. Also
+    sets smaller Arrow batches for the session, unless it has its own setting.
     """
+    if spark.conf.get(_ROWS_SETTING, _DEFAULT_ROWS) == _DEFAULT_ROWS:
+        spark.conf.set(_ROWS_SETTING, BATCH_ROWS)
     application = spark.sparkContext.applicationId
     if application in _shipped or _PACKAGE.suffix == ".zip" or not _PACKAGE.is_dir():
         return
