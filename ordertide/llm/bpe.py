@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from . import store, text
 
 #: Pre-tokens and pairs that a task remembers before it starts afresh.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 _NONE = -1
 
 

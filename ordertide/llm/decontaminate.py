@@ -33,7 +33,7 @@ from . import store, text
 WINDOW = 10
 #: Benchmark windows are broadcast, in blocks of at most this many items' rows.
 ITEM_BLOCK = 20_000
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 INDEX = "shard string, doc_ids array<bigint>, doc_starts binary, terms binary, lists binary, places binary"
 

@@ -1,6 +1,6 @@
 """Words and hashes of Arrow text columns, computed on their bytes with numpy.
 
-A text column is cut into slices of about a megabyte, so the arrays below stay
+A text column is cut into slices of about half a megabyte, so the arrays below stay
 small whatever the batch; one text alone may exceed that and is then a slice.
 All hashes are 64 bits and depend on bytes only, so every worker agrees.
 """
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 
 _LOWER = np.arange(256, dtype=np.uint8)
