@@ -18,11 +18,18 @@ from ordertide.llm import bpe, decontaminate, language, near, store, substrings
 ORACLE_SQL = None
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with columns c0, c1, ..., so that no extra column clashes with an operator's; and the names."""
+    names = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any letter, and so without a language, go. All labelled rows may teach."""
     model = language.learn(language.training_sample(docs, F.lit(True)))
-    found = language.identify(docs, model, columns=tuple(docs.columns))
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    own, names = _numbered(docs)
+    found = language.identify(own, model, text_column=names["text"], columns=tuple(own.columns))
+    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*own.columns).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +46,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A cut text is its kept words joined by one space, and n_chars follows. A document of which
     nothing is left stays as an empty text.
     """
-    found = substrings.deduplicate(docs, columns=tuple(docs.columns))
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    cut = found.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        cut = cut.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    own, names = _numbered(docs)
+    found = substrings.deduplicate(own, tuple(own.columns), names["doc_id"], names["text"])
+    cut = F.col("n_removed") > 0
+    found = found.withColumn(names["text"], F.when(cut, F.col("kept")).otherwise(F.col(names["text"])))
+    if "n_chars" in names:
+        length = F.when(cut, F.length(names["text"])).otherwise(F.col(names["n_chars"]))
+        found = found.withColumn(names["n_chars"], length.cast(docs.schema["n_chars"].dataType))
+    return found.select(*own.columns).toDF(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,18 +76,18 @@ def reputation(pages: DataFrame, z: float = Z) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(*sums)
     root = suffixes.agg(*sums).select(((F.coalesce("bad", F.lit(0.0)) + 1) / (F.coalesce("n", F.lit(0.0)) + 2)).alias("above"))
 
-    def shrunk(level: DataFrame, above: DataFrame, on: str | None, strength: DataFrame) -> DataFrame:
-        # root and strength are one row each
-        joined = level.join(F.broadcast(above), how="inner") if on is None else level.join(above, on)
-        joined = joined.join(F.broadcast(strength))
-        a = F.col("bad") + F.col("s") * F.col("above")
-        return joined.withColumn("a", a).withColumn("total", F.col("n") + F.col("s")).withColumn("mean", F.col("a") / F.col("total"))
+    def shrunk(level: DataFrame, above: Column, strength: Column) -> DataFrame:
+        """Posterior by a prior of ``strength`` pages with mean ``above``."""
+        shrunk = level.withColumn("_s", strength).withColumn("total", F.col("n") + F.col("_s"))
+        return shrunk.withColumn("mean", (F.col("bad") + F.col("_s") * above) / F.col("total")).drop("_s")
 
     labelled = F.col("n") > 0
-    strengths = [x.where(labelled).agg(_strength(x).alias("s")) for x in (suffixes, domains, hosts)]
-    by_suffix = shrunk(suffixes, root, None, strengths[0]).select("suffix", F.col("mean").alias("above"))
-    by_domain = shrunk(domains, by_suffix, "suffix", strengths[1]).select("domain", F.col("mean").alias("above"))
-    by_host = shrunk(hosts, by_domain, "domain", strengths[2])
+    # One row each, read as scalar subqueries.
+    strengths = [x.where(labelled).agg(_strength(x).alias("s")).scalar() for x in (suffixes, domains, hosts)]
+    by_suffix = shrunk(suffixes, root.scalar(), strengths[0]).select("suffix", F.col("mean").alias("above"))
+    by_domain = shrunk(domains.join(by_suffix, "suffix"), F.col("above"), strengths[1])
+    by_domain = by_domain.select("domain", F.col("mean").alias("above"))
+    by_host = shrunk(hosts.join(by_domain, "domain"), F.col("above"), strengths[2])
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("total") + 1))
     return by_host.select("host", "n", "bad", "mean", (F.col("mean") - z * deviation).alias("bound"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, hosts, language, lm, near, search, substrings, suffixes, toxicity
+from . import bpe, decontaminate, hosts, language, lm, near, search, sql, substrings, suffixes, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -97,4 +97,11 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Models, merges and byte strings have none; their queries are tested against brute force."""
+    return {
+        "op1_decontamination": sql.DECONTAMINATION,
+        "op5_substring_dedup": sql.SUBSTRINGS,
+        "op8_minhash_near_dedup": sql.NEAR,
+        "op9_host_reputation": sql.hosts(RULES, hosts.Z, hosts.THRESHOLD),
+        "op10_topk_search": sql.TOP_K,
+    }

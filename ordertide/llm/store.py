@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -39,11 +42,17 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; there is no fallback to a local one."""
+    """The folder named by spark.checkpoint.dir. A session on one machine that names none gets a
+    folder of its own, set in the session and removed at exit."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if folder:
+        return folder.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return folder.rstrip("/")
+    folder = tempfile.mkdtemp(prefix="shared-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
