@@ -179,7 +179,7 @@ def _bad(name: str, kind: str) -> str:
 
 def _orphans(name: str, table: str, column: str, parent: str, key: str) -> str:
     return f"""SELECT '{name}' AS check_name, COUNT(*) AS violations, COUNT(*) = 0 AS passed
-  FROM {table} WHERE {column} NOT IN (SELECT {key} FROM {parent})"""
+  FROM {table} WHERE NOT EXISTS (SELECT 1 FROM {parent} WHERE {key} = {column})"""
 
 
 def _duplicates(name: str, table: str, keys: str) -> str:
@@ -189,7 +189,7 @@ def _duplicates(name: str, table: str, keys: str) -> str:
 
 def statements() -> dict[str, str]:
     service = f"SELECT {KPIS} FROM fulfillment"
-    monthly_growth = _growth("monthly", "product_id", MONTHLY_COLUMNS)
+    monthly_growth = _growth("monthly", "product_id, product_name, category_id", MONTHLY_COLUMNS)
     category_columns = """order_year, order_month, order_year_month, category_id,
   monthly_demand_units, ROUND(monthly_revenue, 4) AS monthly_revenue, monthly_order_count"""
     return {
@@ -254,7 +254,7 @@ SELECT product_id, product_name,
        CAST(SUM(monthly_demand_units) AS BIGINT) AS total_demand_units,
        ROUND(SUM(monthly_revenue), 4) AS total_revenue,
        ROUND(AVG(monthly_demand_units), 6) AS avg_monthly_demand_units,
-       ROUND(SUM(monthly_revenue), 4) / COUNT(monthly_revenue) AS avg_monthly_revenue
+       ROUND(AVG(monthly_revenue) + 1e-9, 6) AS avg_monthly_revenue
 FROM monthly GROUP BY product_id, product_name""",
         "revenue_histogram": _histogram("monthly", "monthly_revenue"),
         "demand_histogram": _histogram("monthly", "monthly_demand_units"),

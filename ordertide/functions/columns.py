@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType
+from pyspark.sql.types import DataType, DoubleType, FloatType, IntegralType
 
 
 def typed(name: str, kind: DataType, lenient: bool = False) -> Column:
-    """Cast a column; malformed text is an error, or null when ``lenient``."""
+    """Cast a column; malformed text is an error, or null when ``lenient``.
+
+    Lenient whole numbers may be written with a fraction of zero, as in ``12.0``.
+    """
     column = F.col(name)
-    return column.try_cast(kind) if lenient else column.cast(kind)
+    if not lenient:
+        return column.cast(kind)
+    if not isinstance(kind, IntegralType):
+        return column.try_cast(kind)
+    number = column.try_cast("decimal(38,10)")
+    return F.coalesce(column.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
 
 
 def line_revenue() -> Column:

@@ -13,10 +13,15 @@ from ordertide.functions import typed
 
 
 def cast_columns(df: DataFrame, schema: StructType, lenient: bool = False) -> DataFrame:
-    """Cast the columns that ``schema`` names and keep every other column as it is."""
-    absent = [name for name in schema.fieldNames() if name not in df.columns]
+    """Cast the columns that ``schema`` names and keep every other column as it is.
+
+    Names match as in Spark, without regard to case, and come out as in ``schema``.
+    """
+    found = {name.lower(): name for name in df.columns}
+    absent = [name for name in schema.fieldNames() if name.lower() not in found]
     if absent:
         raise ValueError(f"input has no column {', '.join(absent)}; it has {', '.join(df.columns)}")
+    df = df.withColumnsRenamed({found[name.lower()]: name for name in schema.fieldNames()})
     return df.withColumns({f.name: typed(f.name, f.dataType, lenient) for f in schema.fields})
 
 
@@ -29,7 +34,8 @@ def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str]) -> DataF
     the remaining ties where they can be ordered, so the result does not depend
     on row order.
     """
-    others = [c for c in df.columns if c not in keys and c not in prefer]
+    named = {c.lower() for c in (*keys, *prefer)}
+    others = [c for c in df.columns if c.lower() not in named]
     sortable = [
         c for c in others if df.schema[c].dataType.typeName() not in ("map", "variant")
     ]
@@ -57,7 +63,8 @@ def clean_order_details(
 
 def clean_orders(df: DataFrame, lenient: bool = False) -> DataFrame:
     """Orders with typed ids and dates, including the fulfillment dates if present."""
-    dates = [f for f in schemas.FULFILLMENT_DATES.fields if f.name in df.columns]
+    present = {name.lower() for name in df.columns}
+    dates = [f for f in schemas.FULFILLMENT_DATES.fields if f.name.lower() in present]
     return cast_columns(df, StructType(schemas.ORDERS.fields + dates), lenient)
 
 

@@ -92,7 +92,9 @@ def integrity_report(lines: DataFrame, orders: DataFrame, products: DataFrame) -
     """Duplicate keys and order lines that lack their order or product.
 
     Every input is counted per key before it is compared, so a key that fills
-    the table is one row by the time it reaches a join.
+    the table is one row by the time it reaches a join. The lines are counted per
+    (order, product) once, and both references are totals of those counts. A line
+    whose key is null lacks its order or product; null keys of one table are equal.
     """
     per_order = orders.groupBy("order_id").agg(F.count("*").alias("copies"))
     per_product = products.groupBy("product_id").agg(F.count("*").alias("copies"))
@@ -102,7 +104,7 @@ def integrity_report(lines: DataFrame, orders: DataFrame, products: DataFrame) -
         return _check(name, counts.agg(F.count_if(F.col("copies") > 1).alias("violations")))
 
     def orphans(name: str, key: str, parents: DataFrame) -> DataFrame:
-        references = lines.groupBy(key).agg(F.count("*").alias("copies"))
+        references = per_line.groupBy(key).agg(F.sum("copies").alias("copies"))
         unmatched = references.join(parents.select(key), key, "left_anti")
         total = F.coalesce(F.sum("copies"), F.lit(0)).alias("violations")
         return _check(name, unmatched.agg(total))

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ordertide.functions import ratio
 
-#: A top-N list up to this many product ids (8 bytes each) is broadcast; a longer
-#: one is left to Spark's own size check.
-BROADCAST_ROWS = 100_000
+#: Key of the monthly table besides the month.
+SERIES = ("product_id", "product_name", "category_id")
 
 
 def select_products(
@@ -50,23 +49,16 @@ def top_products_by_units(monthly: DataFrame, n: int = 10) -> DataFrame:
     return top_products(named, n, "monthly_demand_units", "total_demand_units")
 
 
-def keep_products(monthly: DataFrame, chosen: DataFrame, at_most: int) -> DataFrame:
-    """The rows of the chosen products, by a semi-join instead of a collect.
-
-    ``at_most`` bounds the rows of ``chosen`` and decides about the broadcast.
-    """
+def keep_products(monthly: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of the chosen products, by a semi-join instead of a collect; Spark decides by
+    the size of the list whether to broadcast it."""
     ids = chosen.select("product_id")
-    if at_most <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
     return monthly.join(ids, "product_id", "left_semi").select(*monthly.columns)
 
 
 def keep_top_products(monthly: DataFrame, n: int = 10) -> DataFrame:
-    """All rows of the ``n`` products with most revenue.
-
-    Reads ``monthly`` twice; pass a stored table.
-    """
-    return keep_products(monthly, top_products(monthly, n), n)
+    """All rows of the ``n`` products with most revenue. Reads ``monthly`` twice."""
+    return keep_products(monthly, top_products(monthly, n))
 
 
 def focus(
@@ -79,7 +71,7 @@ def focus(
     selected = select_products(monthly, category_id, product_id)
     if product_id is not None or top_n is None:
         return selected
-    return keep_products(selected, top_products_by_units(selected, top_n), top_n)
+    return keep_products(selected, top_products_by_units(selected, top_n))
 
 
 def product_month_revenue(monthly: DataFrame) -> DataFrame:
@@ -130,15 +122,18 @@ def category_share(
 
 def demand_growth(
     monthly: DataFrame,
-    series: Sequence[str] = ("product_id",),
+    series: Sequence[str] = SERIES,
     units: str = "monthly_demand_units",
 ) -> DataFrame:
     """Change of units against the previous month that has a row in the series.
 
-    The first month, and any month after one with zero units, has null growth.
-    A window partition holds one series: at most a row per month and name. Pass
-    ``series=("product_name",)`` to follow names across product ids.
+    The first month, and any month after one with zero units, has null growth. The
+    default series is the monthly table's key, so a window partition holds one row per
+    month. Pass ``series=("product_name",)`` to follow names across product ids; rows
+    without a name are then left out.
     """
+    if "product_name" in series and "product_id" not in series:
+        monthly = monthly.where(F.col("product_name").isNotNull())
     ties = [c for c in ("product_id", "product_name", "category_id") if c in monthly.columns]
     order = [F.asc_nulls_last(c) for c in ("order_year_month", *ties) if c not in series]
     before = F.lag(units).over(Window.partitionBy(*series).orderBy(*order))

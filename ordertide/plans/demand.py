@@ -156,6 +156,57 @@ def demand_by_order_attribute(
     )
 
 
+def _per_order_and(lines: DataFrame, products: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Line totals per order and product attribute: a hot order is one row per value of it."""
+    return (
+        lines.join(products.select("product_id", *keys), "product_id")
+        .groupBy("order_id", *keys)
+        .agg(
+            F.sum("quantity").alias("_units"),
+            F.sum(line_revenue()).alias("_revenue"),
+            F.sum("unit_price").alias("_price"),
+            F.count("unit_price").alias("_priced"),
+        )
+    )
+
+
+def demand_by_product_attribute(
+    lines: DataFrame, orders: DataFrame, products: DataFrame, *keys: str
+) -> DataFrame:
+    """Units, revenue, distinct orders and mean unit price by category, supplier, or
+    another product column."""
+    per_order = _per_order_and(lines, products, keys)
+    return (
+        orders.select("order_id")
+        .join(per_order, "order_id")
+        .groupBy(*keys)
+        .agg(
+            F.sum("_units").alias("total_demand_units"),
+            F.sum("_revenue").alias("total_revenue"),
+            F.countDistinct("order_id").alias("order_count"),
+            _mean_price().alias("avg_unit_price"),
+        )
+    )
+
+
+def monthly_demand_by_product_attribute(
+    lines: DataFrame, orders: DataFrame, products: DataFrame, *keys: str
+) -> DataFrame:
+    """Units, revenue and distinct orders per month and category, supplier, or another product column."""
+    per_order = _per_order_and(lines, products, keys)
+    return (
+        orders.select("order_id", F.trunc("order_date", "month").alias("_month"))
+        .join(per_order, "order_id")
+        .groupBy("_month", *keys)
+        .agg(
+            F.sum("_units").alias("monthly_demand_units"),
+            F.sum("_revenue").alias("monthly_revenue"),
+            F.countDistinct("order_id").alias("monthly_order_count"),
+        )
+        .select(*month_parts("_month"), *keys, "monthly_demand_units", "monthly_revenue", "monthly_order_count")
+    )
+
+
 def cleaned(
     order_details: DataFrame, orders: DataFrame, products: DataFrame, lenient: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

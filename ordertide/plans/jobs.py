@@ -57,21 +57,33 @@ class Sink:
     table: str | None = None
     path: str | None = None
     partition_by: tuple[str, ...] = ()
+    #: Connections of a database write; None writes one for each partition of the result.
+    connections: int | None = 16
 
     def check(self) -> None:
         if not (self.connection and self.table) and not self.path:
             raise ValueError("give a JDBC url and output table, or an output path")
+        if self.connections is not None and self.connections < 1:
+            raise ValueError("a database write needs a connection at least")
 
     def save(self, df: DataFrame) -> DataFrame:
         """Write, then return the stored table."""
         self.check()
         if self.connection and self.table:
-            writers.write_jdbc(df, self.connection, self.table)
+            writers.write_jdbc(df, self.connection, self.table, self.connections)
             return readers.read_jdbc(df.sparkSession, self.connection, self.table)
         writers.write_parquet(df, self.path, self.partition_by)
         return readers.read_parquet(df.sparkSession, self.path)
 
 
+def _same_table(source: Source, sink: Sink) -> bool:
+    """Whether a sink would overwrite what the source reads."""
+    if source.connection and source.table:
+        both = sink.connection is not None and source.connection.url == sink.connection.url
+        return both and (sink.table or "").lower() == source.table.lower()
+    return sink.table is None and source.path == sink.path
+
+
 def _features(
     lines: DataFrame, orders: DataFrame, products: DataFrame, order_columns: Sequence[str] = ()
 ) -> DataFrame:
@@ -202,6 +214,8 @@ class ReportJob:
             raise ValueError(f"{self.report} cannot be built from a demand base")
         if self.preview_rows < 0:
             raise ValueError("the number of preview rows cannot be negative")
+        if self.lenient and self.base is not None:
+            raise ValueError("lenient casts apply to the three inputs, not to a stored base")
         if self.base is not None:
             self.base.check()
         else:
@@ -241,6 +255,8 @@ class TransformJob:
     def check(self) -> None:
         self.source.check()
         self.sink.check()
+        if _same_table(self.source, self.sink):
+            raise ValueError("the sink is the source's own table: an overwrite would empty it before it is read")
         if not callable(self.transform):
             raise ValueError("the transform must be a function from DataFrame to DataFrame")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,14 +13,18 @@ SHARED_FOLDER = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only a local session may go without one."""
+    """The cluster's shared folder. A session on one machine that names none gets a folder of
+    its own, set in the session and removed at exit."""
     folder = spark.conf.get(SHARED_FOLDER, None)
     if folder:
         return folder.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {SHARED_FOLDER} to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="ordertide-")
+    folder = tempfile.mkdtemp(prefix="ordertide-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set(SHARED_FOLDER, folder)
+    return folder
 
 
 def new_location(spark: SparkSession, name: str) -> str:

@@ -39,19 +39,25 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int)
 
 
 def sink_options(
-    connection: Connection, table: str, connections: int = 16, batch_size: int = 10_000
+    connection: Connection, table: str, connections: int | None = 16, batch_size: int = 10_000
 ) -> dict[str, str]:
     """Options of a JDBC write. ``connections`` bounds the load on the database."""
-    return connection_options(connection) | {
-        "dbtable": table,
-        "numPartitions": str(connections),
-        "batchsize": str(batch_size),
-    }
+    options = connection_options(connection) | {"dbtable": table, "batchsize": str(batch_size)}
+    if connections is not None:
+        options["numPartitions"] = str(connections)
+    return options
 
 
 def write_jdbc(
-    df: DataFrame, connection: Connection, table: str, connections: int = 16
+    df: DataFrame, connection: Connection, table: str, connections: int | None = 16
 ) -> None:
-    """Overwrite a database table."""
+    """Overwrite a database table.
+
+    The rows are shuffled into as many partitions as there are connections. Left to
+    the writer, that number would be a coalesce, and the whole last stage of the
+    query would run in so few tasks.
+    """
     options = sink_options(connection, table, connections)
+    if connections is not None:
+        df = df.repartition(connections)
     df.write.mode("overwrite").format("jdbc").options(**options).save()

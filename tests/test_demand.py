@@ -36,10 +36,10 @@ def features(spark, tables=None):
 
 def test_line_revenue(spark):
     df = spark.createDataFrame(
-        [("11", "nut", 14.0, 12, 0.25)],
+        [("903", "valve", 2.5, 32, 0.5)],
         "product_id string, product_name string, unit_price double, quantity bigint, discount double",
     )
-    assert demand.with_revenue(df).first()["revenue"] == 126.0
+    assert demand.with_revenue(df).first()["revenue"] == 40.0
 
 
 def test_base_drops_lines_without_order_or_product(spark):
@@ -74,11 +74,11 @@ def test_features_and_declared_types(spark):
 
 def test_product_revenue_sorted_highest_first(spark):
     df = spark.createDataFrame(
-        [("11", "nut", 126.0, 12), ("11", "nut", 70.0, 5), ("42", "bolt", 100.0, 4)],
+        [("a1", "hose", 8.5, 2), ("b2", "valve", 3.0, 9), ("a1", "hose", 1.25, 6)],
         "product_id string, product_name string, revenue double, quantity bigint",
     )
     ranked = ordering.highest_first(demand.product_revenue(df), "total_revenue").collect()
-    assert [tuple(r) for r in ranked] == [("11", "nut", 196.0, 17), ("42", "bolt", 100.0, 4)]
+    assert [tuple(r) for r in ranked] == [("a1", "hose", 9.75, 8), ("b2", "valve", 3.0, 9)]
 
 
 def test_summary_counts_orders_once_and_averages_the_filled_price(spark):

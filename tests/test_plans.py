@@ -7,7 +7,7 @@ import pytest
 from conftest import SMALL
 from ordertide.operators import cleaning, trends
 from ordertide.plans import demand as plans
-from ordertide.sources import retail
+from ordertide.sources import retail, staging
 
 
 def plan_of(df):
@@ -35,7 +35,7 @@ def keys(plan):
     return [re.sub(r"#\d+L?", "", s) for s in shuffles(plan)]
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry._own_queries()))
 def test_no_query_crosses_or_leaves_the_jvm(spark, name):
     plan = plan_of(entry.queries()[name](spark, SMALL))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas", "InArrow"):
@@ -66,7 +66,7 @@ def test_a_product_filter_reaches_the_scan(spark):
 
 
 def test_a_category_filter_on_a_stored_table_reaches_the_scan(spark):
-    stored = entry._stored_monthly(spark, SMALL)
+    stored = staging.staged(entry._monthly(spark, SMALL), "monthly")
     assert "EqualTo(category_id,1)" in plan_of(trends.select_products(stored, category_id=1))
 
 
@@ -84,22 +84,31 @@ def test_customer_totals_reuse_the_placement_by_order(no_broadcast):
     assert sorted(keys(plan)) == sorted([*lines, "product_id", "order_id", "customer_id"])
 
 
-def test_category_order_counts_need_no_shuffle_of_lines(no_broadcast):
-    plan = plan_of(entry.queries()["category_summary"](no_broadcast, SMALL))
-    assert "category_id, order_id" not in " ".join(keys(plan))
-    assert "order_id, category_id" not in " ".join(keys(plan))
+@pytest.mark.parametrize("name", ["category_summary", "category_demand_monthly"])
+def test_category_reports_total_an_order_before_it_meets_the_orders(no_broadcast, name):
+    """A hot order is one row per category at the join, in a session without the force setting."""
+    plan = plan_of(entry.queries()[name](no_broadcast, SMALL))
+    assert "order_id, category_id" in " ".join(keys(plan))
+
+
+def test_building_a_query_writes_nothing(spark, monkeypatch):
+    def fail(*_):
+        raise AssertionError("a write while building")
+
+    monkeypatch.setattr(staging, "staged", fail)
+    for name in ("demand_base", "demand_features", "supplier_summary", "category_share", "top_products_trend", "revenue_histogram"):
+        assert entry.queries()[name](spark, SMALL).columns
 
 
 def test_top_list_is_a_bounded_top_k_and_a_semi_join(spark):
-    stored = entry._stored_monthly(spark, SMALL)
-    plan = plan_of(trends.keep_top_products(stored, 10))
+    plan = plan_of(trends.keep_top_products(entry._monthly(spark, SMALL), 10))
     assert "TakeOrderedAndProject" in plan
     assert re.search(r"BroadcastHashJoin .*LeftSemi", plan)
 
 
 def test_share_totals_are_aggregated_not_windowed(spark):
-    plan = plan_of(trends.category_share(entry._stored_monthly(spark, SMALL)))
-    assert "Window" not in plan
+    plan = plan_of(trends.category_share(entry._monthly(spark, SMALL)))
+    assert "windowspecdefinition(order_year_month" not in plan
 
 
 def test_unneeded_supplier_join_disappears(spark):

@@ -30,6 +30,10 @@ class Recorder:
     def load(self):
         return self
 
+    def repartition(self, partitions):
+        self.calls.append({"repartition": partitions})
+        return self
+
     def save(self):
         self.calls[-1]["saved"] = True
 
@@ -61,16 +65,16 @@ def test_settings_accept_full_table_names_and_report_absent_sections(tmp_path):
 
 
 def test_an_argument_beats_the_environment(monkeypatch):
-    monkeypatch.setenv("DB_PASSWORD", "from-env")
-    monkeypatch.setenv("OTHER", "other-env")
-    assert settings.setting("from-arg", "DB_PASSWORD") == "from-arg"
-    assert settings.setting(None, "DB_PASSWORD") == "from-env"
-    assert settings.setting("", "OTHER") == "other-env"
+    monkeypatch.setenv("DB_PASSWORD", "env value")
+    monkeypatch.setenv("OTHER", "second value")
+    assert settings.setting("given value", "DB_PASSWORD") == "given value"
+    assert settings.setting(None, "DB_PASSWORD") == "env value"
+    assert settings.setting("", "OTHER") == "second value"
     assert settings.setting(None, None) is None
     base = settings.load_settings(ROOT / "configs/base.yaml")
-    assert base.connection().password == "from-env"
-    assert base.connection(password_env="OTHER").password == "other-env"
-    assert base.connection("from-arg").password == "from-arg"
+    assert base.connection().password == "env value"
+    assert base.connection(password_env="OTHER").password == "second value"
+    assert base.connection("given value").password == "given value"
 
 
 def test_a_missing_password_is_reported_early(monkeypatch):
@@ -84,10 +88,10 @@ def test_passwords_stay_out_of_text():
 
 
 def test_names_and_paths():
-    assert settings.qualified("orders") == "public.orders"
-    assert settings.qualified("mart.orders") == "mart.orders"
+    assert settings.qualified("lines") == "public.lines"
+    assert settings.qualified("sales.lines") == "sales.lines"
     assert settings.optional_path(None) is None
-    assert settings.optional_path(ROOT / "driver.jar").endswith("driver.jar")
+    assert settings.optional_path(ROOT / "jars/db.jar").endswith("jars/db.jar")
 
 
 def test_jdbc_scan_without_split():
@@ -129,11 +133,18 @@ def test_jdbc_scan_of_an_empty_table_is_not_split():
 def test_jdbc_write_overwrites():
     df = Recorder()
     writers.write_jdbc(df, DB, "public.out", connections=4)
-    mode, options = df.calls
-    assert mode == {"mode": "overwrite"}
+    shuffled, mode, options = df.calls
+    assert (shuffled, mode) == ({"repartition": 4}, {"mode": "overwrite"})
     assert (options["dbtable"], options["numPartitions"], options["saved"]) == ("public.out", "4", True)
 
 
+def test_jdbc_write_without_a_bound_keeps_the_partitions():
+    df = Recorder()
+    writers.write_jdbc(df, DB, "public.out", connections=None)
+    assert df.calls[0] == {"mode": "overwrite"}
+    assert "numPartitions" not in df.calls[-1]
+
+
 def test_csv_is_text_unless_typed(spark, tmp_path):
     (tmp_path / "a.csv").write_text("order_id,note\n01,x\n2,\n")
     path = str(tmp_path / "a.csv")

@@ -43,16 +43,21 @@ def test_top_products_keep_all_their_months(spark):
     assert [r.product_id for r in charts.in_plot_order(df).collect()] == [1, 2, 2, 3]
 
 
-def test_a_long_top_list_is_not_hinted(spark):
+def test_top_lists_carry_no_hint(spark):
     df = monthly(spark, ("1997-01", 1, "a", 1, 9, 1.0))
-    short, long = (trends.keep_top_products(df, n) for n in (1, trends.BROADCAST_ROWS + 1))
-    assert long.count() == 1
+    kept = trends.keep_top_products(df, 3)
+    assert kept.count() == 1
+    assert "broadcast" not in kept._jdf.queryExecution().analyzed().toString()
 
-    def logical(df):
-        return df._jdf.queryExecution().analyzed().toString()
 
-    assert "broadcast" in logical(short)
-    assert "broadcast" not in logical(long)
+def test_growth_follows_the_full_key(spark):
+    df = monthly(
+        spark,
+        ("1997-01", 1, "a", 1, 10, 1.0), ("1997-02", 1, "a", 1, 20, 1.0),
+        ("1997-01", 1, "b", 1, 40, 1.0), ("1997-02", 1, "b", 1, 80, 1.0),
+    )
+    grown = {(r.product_name, r.order_year_month): r.demand_growth_rate for r in trends.demand_growth(df).collect()}
+    assert grown == {("a", "1997-01"): None, ("a", "1997-02"): 1.0, ("b", "1997-01"): None, ("b", "1997-02"): 1.0}
 
 
 def test_unnamed_products_are_not_ranked_by_units_or_summarised(spark):
