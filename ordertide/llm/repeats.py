@@ -43,7 +43,7 @@ from . import store, text
 #: Marks, beside the number of windows, a context that more than one document of the block has.
 SEVERAL = 1 << 31
 #: Text that a shard resolves at once.
-PORTION_BYTES = 1 << 20
+PORTION_BYTES = 1 << 18
 LAST = np.iinfo(np.int64).max
 #: Smaller than any id: every document that has the window is past its first occurrence.
 EARLIER = np.iinfo(np.int64).min
@@ -391,7 +391,8 @@ def find(
     store.ship(docs.sparkSession)
     parts = store.partitions(docs.sparkSession)
     id_ = F.col(id_column).cast("bigint")
-    block = F.pmod(F.xxhash64(id_), F.lit(parts)).cast("int").alias("_block")
+    # Two blocks a partition: a task holds one block's texts at a time.
+    block = F.pmod(F.xxhash64(id_), F.lit(2 * parts)).cast("int").alias("_block")
     blocks = docs.select(*columns, id_.alias("_id"), F.col(text_column).alias("_text"), block)
     fields = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*columns).dtypes)
     full = f"{fields}, {made}" if fields else made
