@@ -185,10 +185,10 @@ def _contexts(spec: Spec, shards: int):
         order = np.argsort(keys)
         keys, hot = keys[order], np.concatenate(_joined(shared, "hot", bool))[order]
         ids = _ids(table)
+        column = table.column("_text").combine_chunks()
+        raw, row_at = text.utf8(column)
         parts: list[tuple] = []
-        texts: list[np.ndarray] = []
-        sizes: list[np.ndarray] = []
-        for first_row, _, data, offsets in text.slices(table.column("_text")):
+        for first_row, _, data, offsets in text.slices(column):
             units = Units(spec, data, offsets)
             own = units.contexts()
             at = k.look_up(keys, own.key)
@@ -213,20 +213,17 @@ def _contexts(spec: Spec, shards: int):
             most = np.full(len(distinct), EARLIER)
             np.maximum.at(most, inverse, id_)
             begin, end = units.byte_range(first[one], first[one] + n[one] - 1 + spec.length)
-            parts.append((distinct, least, most, n[one], to[one], anchor[one]))
-            texts.append(_gather(data, begin, end))
-            sizes.append(end - begin)
+            parts.append((distinct, least, most, n[one], to[one], anchor[one], row_at[first_row] + begin, end - begin))
         if not parts:
             return pa.table([pa.array([], t) for t in schema], names=names)
-        own_hash, least, most, n, to, anchor = (np.concatenate(x) for x in zip(*parts, strict=True))
-        size = np.concatenate(sizes)
-        raw = np.concatenate(texts)
-        ends = np.cumsum(size)
+        own_hash, least, most, n, to, anchor, begin, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
         distinct, one, inverse = np.unique(own_hash, return_index=True, return_inverse=True)
         low = np.full(len(distinct), LAST)
         np.minimum.at(low, inverse, least)
         high = np.full(len(distinct), EARLIER)
         np.maximum.at(high, inverse, most)
+        del inverse, own_hash, least, most
         shard = k.shard_of(to[one], shards).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         at = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -235,7 +232,8 @@ def _contexts(spec: Spec, shards: int):
         for s in np.flatnonzero(np.diff(at)):
             chosen = order[at[s] : at[s + 1]]
             source = one[chosen]
-            content = _gather(raw, ends[source] - size[source], ends[source])
+            # A context's text stays where it is in the block until its shard's message is made.
+            content = _gather(raw, begin[source], begin[source] + size[source])
             rows.append(
                 (
                     int(s), block, (to[source] & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), anchor[source].tobytes(),
@@ -291,9 +289,12 @@ def _resolved(spec: Spec, resolver: Resolver):
         size = np.concatenate(sizes).astype(np.int64)
         n = np.concatenate(_joined(table, "n", np.uint32)).astype(np.int64)
         several, n = n & SEVERAL > 0, n & ~SEVERAL
-        packed = zip(table.column("text"), sizes, strict=True)
-        raw = np.concatenate([np.frombuffer(pa.decompress(x.as_py(), int(y.sum()), codec="zstd", asbytes=True), np.uint8) for x, y in packed])
         ends = np.cumsum(size)
+        raw, filled = np.empty(int(ends[-1]), np.uint8), 0
+        for packed, own in zip(table.column("text"), sizes, strict=True):
+            unpacked = pa.decompress(packed.as_py(), int(own.sum()), codec="zstd", asbytes=True)
+            raw[filled : filled + len(unpacked)] = np.frombuffer(unpacked, np.uint8)
+            filled += len(unpacked)
         distinct, one, inverse = np.unique(_context_hashes(spec, raw, size, n), return_index=True, return_inverse=True)
         low = np.full(len(distinct), LAST)
         np.minimum.at(low, inverse, least)
