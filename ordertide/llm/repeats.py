@@ -105,7 +105,8 @@ class Units:
         first = windows[begins]
         row = np.searchsorted(self.rows, first, "right") - 1
         own = text.range_hashes(self.prefix, first, first + n - 1 + length)
-        return Contexts(first, n, row, grams[anchor[begins]], own)
+        # Least hashes crowd at the low end of their range; mixed again, they spread evenly over the shards.
+        return Contexts(first, n, row, text.mixed(grams[anchor[begins]]), own)
 
 
 def _ids(table: pa.Table) -> np.ndarray:
