@@ -183,6 +183,22 @@ def top_products_by_units(spark: SparkSession, folder: str) -> DataFrame:
     return trends.top_products_by_units(_monthly(spark, folder))
 
 
+def _placed(ordered: DataFrame, rows: int) -> DataFrame:
+    """The first rows of a sorted table with their place, as a report prints them."""
+    # The first rows of a sort are one partition, in order, so the id of a row is its place.
+    return ordering.preview(ordered, rows).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+def products_highest_first(spark: SparkSession, folder: str) -> DataFrame:
+    summary = product_demand_summary(spark, folder)
+    return _placed(ordering.highest_first(summary, "total_revenue", "product_id"), 50)
+
+
+def monthly_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    monthly = product_demand_monthly(spark, folder)
+    return _placed(ordering.by_month(monthly, "monthly_revenue", "product_id"), 100)
+
+
 def top_products_trend(spark: SparkSession, folder: str) -> DataFrame:
     frame = charts.chart_frame(_monthly(spark, folder))
     return charts.in_plot_order(_money(frame, "monthly_revenue"))
@@ -372,6 +388,8 @@ def _own_queries() -> dict[str, Query]:
         "monthly_for_product": monthly_for_product,
         "top_products_by_revenue": top_products_by_revenue,
         "top_products_by_units": top_products_by_units,
+        "products_highest_first": products_highest_first,
+        "monthly_in_order": monthly_in_order,
         "top_products_trend": top_products_trend,
         "focus_top_units": focus_top_units,
         "category_month_revenue": category_month_revenue,

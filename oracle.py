@@ -236,6 +236,14 @@ SELECT {MONTHLY_COLUMNS} FROM monthly WHERE category_id = 1""",
 SELECT {MONTHLY_COLUMNS} FROM monthly WHERE product_id = 2""",
         "top_products_by_revenue": f"WITH {MONTHLY} {TOP_REVENUE}",
         "top_products_by_units": f"WITH {MONTHLY} {TOP_UNITS}",
+        "products_highest_first": f"""WITH {FEATURES},
+summary AS (SELECT product_id, product_name, category_id, {TOTALS}
+  FROM features GROUP BY product_id, product_name, category_id)
+SELECT *, ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product_id) AS place
+FROM summary QUALIFY place <= 50""",
+        "monthly_in_order": f"""WITH {MONTHLY}, rounded AS (SELECT {MONTHLY_COLUMNS} FROM monthly)
+SELECT *, ROW_NUMBER() OVER (ORDER BY order_year_month, monthly_revenue DESC, product_id) AS place
+FROM rounded QUALIFY place <= 100""",
         "top_products_trend": f"WITH {CHART} SELECT {MONTHLY_COLUMNS} FROM chart",
         "focus_top_units": f"""WITH {MONTHLY},
 picked AS (SELECT product_id FROM monthly WHERE category_id = 1 GROUP BY product_id, product_name

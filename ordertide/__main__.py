@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
         analysis.add_argument("--category-id", type=int)
         analysis.add_argument("--product-id", type=int)
         analysis.add_argument("--top-n", type=int, default=10)
+        analysis.add_argument("--focus-top", type=int, help="only the products with most units")
         analysis.add_argument("--limit", type=int, default=20, help="preview rows; 0 for none")
 
     checks = commands.add_parser("quality", help="write quality reports of the inputs")
@@ -72,6 +73,9 @@ def _parser() -> argparse.ArgumentParser:
     transform.add_argument("--input-format", choices=list(jobs.FILE_READERS), default="csv")
     transform.add_argument("--output", help="output Parquet folder")
     transform.add_argument("--jdbc-output-table")
+    transform.add_argument("--split-column", help="split the input table by ranges of this column")
+    transform.add_argument("--output-split-column", help="the same, to read the output table back")
+    _connections(transform)
     transform.add_argument("--order-by", help="numeric column to sort the preview by")
     return parser
 
@@ -87,7 +91,13 @@ def _common(parser: argparse.ArgumentParser, preview: int) -> None:
 def _inputs(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--config", default="configs/base.yaml", help="YAML configuration")
     parser.add_argument("--input-folder", help="read <folder>/<table>.parquet, not JDBC")
-    parser.add_argument("--connections", type=int, default=1, help="JDBC connections per table")
+    _connections(parser)
+
+
+def _connections(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument(
+        "--connections", type=int, default=jobs.CONNECTIONS, help="JDBC connections per table"
+    )
 
 
 def _database(parser: argparse.ArgumentParser, table_required: bool = True) -> None:
@@ -129,6 +139,7 @@ def analysis_job(args: argparse.Namespace) -> jobs.AnalysisJob:
         product_id=args.product_id,
         top_n=args.top_n,
         preview_rows=args.limit,
+        focus_top=args.focus_top,
     )
 
 
@@ -170,13 +181,22 @@ def transform_job(args: argparse.Namespace) -> jobs.TransformJob:
         password=setting(args.db_password, args.db_password_env or PASSWORD_ENV),
         driver=args.jdbc_driver,
     )
+    if args.jdbc_input_table and not args.split_column and args.connections != 1:
+        raise ValueError("give --split-column, or --connections 1 to read the table in one task")
+    read, read_back = (
+        jobs.readers.Split(column, args.connections) if column and args.connections > 1 else None
+        for column in (args.split_column, args.output_split_column)
+    )
     module, _, function = args.function.partition(":")
     return jobs.TransformJob(
         source=jobs.Source(
-            connection or None, args.jdbc_input_table, args.input, args.input_format
+            connection or None, args.jdbc_input_table, args.input, args.input_format, read
         ),
         transform=getattr(import_module(module), function or "transform"),
-        sink=jobs.Sink(connection or None, args.jdbc_output_table, args.output),
+        sink=jobs.Sink(
+            connection or None, args.jdbc_output_table, args.output,
+            connections=args.connections, split=read_back,
+        ),
         preview_rows=args.limit,
         order_by_number=args.order_by,
     )

@@ -12,16 +12,21 @@ from ordertide import schemas
 from ordertide.functions import typed
 
 
+def named_as(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns that ``schema`` names, found without regard to case, named as there."""
+    found = {name.lower(): name for name in df.columns}
+    absent = [name for name in schema.fieldNames() if name.lower() not in found]
+    if absent:
+        raise ValueError(f"input has no column {', '.join(absent)}; it has {', '.join(df.columns)}")
+    return df.withColumnsRenamed({found[name.lower()]: name for name in schema.fieldNames()})
+
+
 def cast_columns(df: DataFrame, schema: StructType, lenient: bool = False) -> DataFrame:
     """Cast the columns that ``schema`` names and keep every other column as it is.
 
     Names match as in Spark, without regard to case, and come out as in ``schema``.
     """
-    found = {name.lower(): name for name in df.columns}
-    absent = [name for name in schema.fieldNames() if name.lower() not in found]
-    if absent:
-        raise ValueError(f"input has no column {', '.join(absent)}; it has {', '.join(df.columns)}")
-    df = df.withColumnsRenamed({found[name.lower()]: name for name in schema.fieldNames()})
+    df = named_as(df, schema)
     return df.withColumns({f.name: typed(f.name, f.dataType, lenient) for f in schema.fields})
 
 

@@ -17,6 +17,11 @@ def by_month(df: DataFrame, measure: str = "monthly_revenue", *ties: str) -> Dat
     return df.orderBy("order_year_month", F.desc(measure), *ties)
 
 
+def by_series(df: DataFrame, *series: str) -> DataFrame:
+    """Series by series, month by month within one."""
+    return df.orderBy(*series, "order_year_month")
+
+
 def by_number(df: DataFrame, column: str, lenient: bool = False) -> DataFrame:
     """Ascending by a text column that holds whole numbers."""
     number = F.col(column)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ordertide.functions import missing, ratio
+from ordertide.functions import missing, ratio, typed
 
 
 def _counted(condition: Column, name: str) -> Column:
@@ -62,6 +62,24 @@ def schema_report(df: DataFrame, expected: StructType) -> DataFrame:
     return _rows(totals, [row(name) for name in (*wanted, *extra)])
 
 
+def cast_losses(df: DataFrame, expected: StructType) -> DataFrame:
+    """How many values of each expected column a lenient cast makes null."""
+    lost = [
+        _counted(F.col(f.name).isNotNull() & typed(f.name, f.dataType, lenient=True).isNull(), f"_{i}")
+        for i, f in enumerate(expected.fields)
+    ]
+    totals = df.agg(F.count("*").alias("_rows"), *lost)
+    rows = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.col("_rows").alias("row_count"),
+            F.col(f"_{i}").alias("lost_values"),
+        )
+        for i, name in enumerate(expected.fieldNames())
+    ]
+    return _rows(totals, rows)
+
+
 def null_report(
     df: DataFrame, thresholds: Mapping[str, float] | None = None, default: float = 0.0
 ) -> DataFrame:

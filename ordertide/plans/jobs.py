@@ -7,13 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ordertide import schemas
 from ordertide.operators import charts, demand, fulfillment, ordering, quality, trends
-from ordertide.operators.cleaning import cast_columns
+from ordertide.operators.cleaning import cast_columns, named_as
 from ordertide.plans import demand as plans
 from ordertide.sources import readers, writers
 from ordertide.sources.settings import Connection, Settings
@@ -22,6 +24,13 @@ Transform = Callable[[DataFrame], DataFrame]
 
 INPUTS = ("order_details", "orders", "products")
 
+EXPECTED = dict(
+    zip(INPUTS, (schemas.ORDER_DETAILS, schemas.ORDERS, schemas.PRODUCTS), strict=True)
+)
+
+#: Database connections of a table's scan or write, unless the caller says otherwise.
+CONNECTIONS = 16
+
 FILE_READERS = {"parquet": readers.read_parquet, "csv": readers.read_csv}
 
 
@@ -48,6 +57,13 @@ class Source:
             return readers.read_jdbc(spark, self.connection, self.table, self.split)
         return FILE_READERS[self.file_format](spark, self.path)
 
+    def count(self, spark: SparkSession) -> int:
+        """The number of rows. A database counts its own table."""
+        self.check()
+        if self.connection and self.table:
+            return readers.count_jdbc(spark, self.connection, self.table)
+        return quality.row_counts({"source": self.load(spark)}).first()["row_count"]
+
 
 @dataclass(frozen=True)
 class Sink:
@@ -58,7 +74,9 @@ class Sink:
     path: str | None = None
     partition_by: tuple[str, ...] = ()
     #: Connections of a database write; None writes one for each partition of the result.
-    connections: int | None = 16
+    connections: int | None = CONNECTIONS
+    #: How a stored database table is read back; None is over one connection.
+    split: readers.Split | None = None
 
     def check(self) -> None:
         if not (self.connection and self.table) and not self.path:
@@ -71,7 +89,7 @@ class Sink:
         self.check()
         if self.connection and self.table:
             writers.write_jdbc(df, self.connection, self.table, self.connections)
-            return readers.read_jdbc(df.sparkSession, self.connection, self.table)
+            return readers.read_jdbc(df.sparkSession, self.connection, self.table, self.split)
         writers.write_parquet(df, self.path, self.partition_by)
         return readers.read_parquet(df.sparkSession, self.path)
 
@@ -194,6 +212,7 @@ class ReportJob:
     """Clean the three inputs, or read a stored demand base, and write one report.
 
     ``ordered`` sorts the stored table too; otherwise only the preview is sorted.
+    ``lenient`` also stores, beside the report, how many values became null.
     """
 
     report: str
@@ -239,8 +258,24 @@ class ReportJob:
         self.check()
         stored = self.sink.save(self.build(spark))
         show(REPORTS[self.report].in_order(stored), self.preview_rows)
+        if self.lenient:
+            self._save_losses(spark)
         return stored
 
+    def _save_losses(self, spark: SparkSession) -> None:
+        """Store and show how many values of each input column lenient casts made null."""
+        losses = reduce(
+            DataFrame.unionByName,
+            (
+                quality.cast_losses(named_as(self.sources[name].load(spark), EXPECTED[name]), EXPECTED[name])
+                .select(F.lit(name).alias("table_name"), "*")
+                for name in INPUTS
+            ),
+        )
+        if self.sink.path:
+            losses = Sink(path=f"{self.sink.path}_cast_losses").save(losses)
+        show(losses.orderBy("table_name", "column_name"), sum(len(x) for x in EXPECTED.values()))
+
 
 @dataclass(frozen=True)
 class TransformJob:
@@ -303,12 +338,39 @@ class ChartsJob:
         return {"monthly_trend": trend, **stored}
 
 
-ANALYSES: Mapping[str, Callable[..., DataFrame]] = {
-    "top_products_by_revenue": lambda monthly, n: trends.top_products(monthly, n),
-    "top_products_by_units": lambda monthly, n: trends.top_products_by_units(monthly, n),
-    "category_share": lambda monthly, n: trends.category_share(monthly),
-    "demand_growth": lambda monthly, n: trends.demand_growth(monthly),
-    "period_summary": lambda monthly, n: trends.period_summary(monthly),
+@dataclass(frozen=True)
+class Analysis:
+    """A table made from the monthly table, and the order in which it is shown.
+
+    ``narrows``: whether it may follow the top products alone. A ranking or a share is of all.
+    """
+
+    build: Callable[[DataFrame, int], DataFrame]
+    in_order: Transform
+    narrows: bool = False
+
+
+def _highest(measure: str) -> Transform:
+    return lambda df: ordering.highest_first(df, measure, "product_id", "product_name")
+
+
+ANALYSES: Mapping[str, Analysis] = {
+    "top_products_by_revenue": Analysis(trends.top_products, _highest("total_revenue")),
+    "top_products_by_units": Analysis(trends.top_products_by_units, _highest("total_demand_units")),
+    "category_share": Analysis(
+        lambda monthly, n: trends.category_share(monthly),
+        lambda df: ordering.by_month(df, "product_month_revenue", "category_id", "product_id"),
+    ),
+    "demand_growth": Analysis(
+        lambda monthly, n: trends.demand_growth(monthly),
+        lambda df: ordering.by_series(df, "product_name", "product_id", "category_id"),
+        narrows=True,
+    ),
+    "period_summary": Analysis(
+        lambda monthly, n: trends.period_summary(monthly),
+        _highest("total_demand_units"),
+        narrows=True,
+    ),
 }
 
 
@@ -316,8 +378,9 @@ ANALYSES: Mapping[str, Callable[..., DataFrame]] = {
 class AnalysisJob:
     """Write one analysis of a stored monthly table.
 
-    The category narrows the table first. A product is chosen from the result,
-    because a share is of the whole category.
+    The category narrows the table first, then ``focus_top`` to the products with most
+    units. A product is chosen from the result, because a share is of the whole
+    category; it goes before ``focus_top``. The preview is sorted, the stored table is not.
     """
 
     analysis: str
@@ -327,21 +390,26 @@ class AnalysisJob:
     product_id: int | None = None
     top_n: int = 10
     preview_rows: int = 20
+    focus_top: int | None = None
 
     def check(self) -> None:
         if self.analysis not in ANALYSES:
             raise ValueError(f"no analysis {self.analysis!r}; known: {', '.join(ANALYSES)}")
-        if self.top_n < 1:
-            raise ValueError("top-n starts at 1")
+        if self.top_n < 1 or (self.focus_top is not None and self.focus_top < 1):
+            raise ValueError("top-n and focus-top start at 1")
+        if self.focus_top is not None and not ANALYSES[self.analysis].narrows:
+            raise ValueError(f"{self.analysis} is of all products and takes no focus-top")
         self.monthly.check()
         self.sink.check()
 
     def run(self, spark: SparkSession) -> DataFrame:
         self.check()
-        monthly = trends.select_products(self.monthly.load(spark), self.category_id)
-        result = ANALYSES[self.analysis](monthly, self.top_n)
+        analysis = ANALYSES[self.analysis]
+        focus_top = self.focus_top if self.product_id is None else None
+        monthly = trends.focus(self.monthly.load(spark), self.category_id, top_n=focus_top)
+        result = analysis.build(monthly, self.top_n)
         stored = self.sink.save(trends.select_products(result, product_id=self.product_id))
-        show(stored, self.preview_rows)
+        show(analysis.in_order(stored), self.preview_rows)
         return stored
 
 
@@ -365,12 +433,9 @@ class QualityJob:
     def run(self, spark: SparkSession) -> dict[str, DataFrame]:
         self.check()
         tables = {name: self.sources[name].load(spark) for name in INPUTS}
-        expected = dict(
-            zip(INPUTS, (schemas.ORDER_DETAILS, schemas.ORDERS, schemas.PRODUCTS), strict=True)
-        )
         reports = {"integrity": quality.integrity_report(*tables.values())}
         for name, table in tables.items():
-            reports[f"{name}_schema"] = quality.schema_report(table, expected[name])
+            reports[f"{name}_schema"] = quality.schema_report(table, EXPECTED[name])
             reports[f"{name}_nulls"] = quality.null_report(table, default=self.null_threshold)
         stored = {
             name: Sink(path=f"{self.folder}/{name}").save(report)
@@ -393,9 +458,8 @@ class ProbeJob:
 
     def run(self, spark: SparkSession) -> int:
         self.check()
-        df = self.source.load(spark)
-        show(df, self.preview_rows)
-        count = quality.row_counts({"source": df}).first()["row_count"]
+        show(self.source.load(spark), self.preview_rows)
+        count = self.source.count(spark)
         print(f"row count = {count}")
         return count
 

@@ -72,6 +72,16 @@ def read_jdbc(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def count_query(table: str) -> str:
+    return f"(SELECT COUNT(*) AS row_count FROM {table}) counted"
+
+
+def count_jdbc(spark: SparkSession, connection: Connection, table: str) -> int:
+    """The rows of a database table, counted by the database."""
+    options = scan_options(connection, count_query(table))
+    return int(spark.read.format("jdbc").options(**options).load().first()[0])
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Scan CSV files with a header. Without a schema every column is text; nothing
     is inferred, since that would read the data twice."""

@@ -52,6 +52,14 @@ def parsed(*argv):
             "cannot be built from a demand base",
         ),
         (jobs.AnalysisJob("nope", jobs.Source(path="i"), jobs.Sink(path="o")), "no analysis 'nope'"),
+        (
+            jobs.AnalysisJob("category_share", jobs.Source(path="i"), jobs.Sink(path="o"), focus_top=2),
+            "is of all products",
+        ),
+        (
+            jobs.AnalysisJob("period_summary", jobs.Source(path="i"), jobs.Sink(path="o"), focus_top=0),
+            "start at 1",
+        ),
         (jobs.QualityJob({}, "o"), "no source for order_details"),
         (jobs.ProbeJob(jobs.Source(path="i", file_format="xls")), "no file format 'xls'"),
     ],
@@ -155,6 +163,41 @@ def test_analyses_of_a_stored_monthly_table(spark, inputs, tmp_path, name):
     assert rows(one.select(exact)) == rows(stored.where("product_id = 2").select(exact))
 
 
+def test_analyses_of_the_top_products_by_units(spark, inputs, tmp_path, capsys):
+    monthly = str(tmp_path / "monthly")
+    cli.report_job(parsed("product_demand_monthly", "--config", CONFIG, "--input-folder", inputs,
+                          "--output", monthly, "--limit", "0")).run(spark)
+    focused = entry.queries()["focus_top_units"](spark, SMALL)
+    ids = {r.product_id for r in focused.select("product_id").distinct().collect()}
+    for name in ("demand_growth", "period_summary"):
+        args = parsed(name, "--config", CONFIG, "--input", monthly, "--output", str(tmp_path / name),
+                      "--category-id", "1", "--focus-top", "2", "--limit", "200")
+        stored = cli.analysis_job(args).run(spark)
+        assert {r.product_id for r in stored.select("product_id").distinct().collect()} == ids
+    assert stored.count() == 2
+    shown = capsys.readouterr().out
+    units = [r.total_demand_units for r in stored.collect()]
+    assert shown.rindex(f"|{max(units)}") < shown.rindex(f"|{min(units)}")
+    growth = spark.read.parquet(str(tmp_path / "demand_growth"))
+    assert growth.count() == focused.count()
+
+
+def test_lenient_reports_count_what_they_lose(spark, inputs, tmp_path, capsys):
+    lines = spark.read.parquet(f"{inputs}/order_details.parquet").limit(3)
+    text = lines.selectExpr("order_id AS ORDER_ID", "product_id", "unit_price", "discount",
+                            "element_at(array('12.0', 'x', '3'), 1 + CAST(order_id % 3 AS INT)) AS quantity")
+    text.write.parquet(str(tmp_path / "order_details.parquet"))
+    sources = jobs.folder_sources(inputs) | {"order_details": jobs.Source(path=str(tmp_path / "order_details.parquet"))}
+    bad = text.where("quantity = 'x'").count()
+    job = jobs.ReportJob("product_demand_summary", sources, jobs.Sink(path=str(tmp_path / "out")), lenient=True)
+    job.run(spark)
+    found = spark.read.parquet(str(tmp_path / "out_cast_losses"))
+    lost = {(r.table_name, r.column_name): (r.row_count, r.lost_values) for r in found.collect()}
+    assert lost[("order_details", "quantity")] == (3, bad)
+    assert sum(n for _, n in lost.values()) == bad
+    assert "lost_values" in capsys.readouterr().out
+
+
 def test_quality_job(spark, inputs, tmp_path, capsys):
     args = parsed("quality", "--config", CONFIG, "--input-folder", inputs,
                   "--output-dir", str(tmp_path / "q"), "--limit", "5")
@@ -188,6 +231,18 @@ def test_probe_counts(spark, inputs, capsys):
     assert "row count = 200" in capsys.readouterr().out
 
 
+def test_transform_of_a_table_names_its_split(monkeypatch):
+    for name in ("JDBC_URL", "DB_USER", "DB_PASSWORD"):
+        monkeypatch.delenv(name, raising=False)
+    argv = ("transform", "--function", "test_jobs:keep_good", "--jdbc-url", "jdbc:x",
+            "--jdbc-input-table", "reviews", "--output", "out")
+    with pytest.raises(ValueError, match="--split-column"):
+        cli.transform_job(parsed(*argv))
+    assert cli.transform_job(parsed(*argv, "--connections", "1")).source.split is None
+    job = cli.transform_job(parsed(*argv, "--split-column", "review_id", "--connections", "4"))
+    assert (job.source.split.column, job.source.split.partitions, job.sink.connections) == ("review_id", 4, 4)
+
+
 def test_report_reads_the_configured_tables_over_jdbc(monkeypatch):
     monkeypatch.setenv("DB_PASSWORD", "pw")
     job = cli.report_job(parsed("product_demand_monthly", "--config", CONFIG, "--connections", "8"))
@@ -198,6 +253,8 @@ def test_report_reads_the_configured_tables_over_jdbc(monkeypatch):
     assert job.sources["products"].split.column == "product_id"
     assert job.sources["orders"].split.partitions == 8
     assert job.sink.path == "output/product_demand_monthly"
+    job = cli.report_job(parsed("product_demand_monthly", "--config", CONFIG))
+    assert job.sources["orders"].split.partitions == jobs.CONNECTIONS
 
 
 def test_probe_settings_come_from_arguments_or_the_environment(monkeypatch):

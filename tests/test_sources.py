@@ -130,6 +130,12 @@ def test_jdbc_scan_of_an_empty_table_is_not_split():
         readers.scan_options(DB, "t", readers.Split("order_id", 8))
 
 
+def test_a_database_counts_its_own_rows():
+    spark = Recorder(first=(41,))
+    assert readers.count_jdbc(spark, DB, "public.orders") == 41
+    assert [c["dbtable"] for c in spark.calls] == ["(SELECT COUNT(*) AS row_count FROM public.orders) counted"]
+
+
 def test_jdbc_write_overwrites():
     df = Recorder()
     writers.write_jdbc(df, DB, "public.out", connections=4)
