@@ -19,8 +19,9 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -197,12 +198,18 @@ def _blocks(items: DataFrame, window: int, item_block: int) -> Iterator[Broadcas
         yield items.sparkSession.sparkContext.broadcast(Windows(rows, window))
 
 
-def _search_block(index: DataFrame, shared: Broadcast, within: int | None) -> DataFrame:
-    """Per document: n_words, word spans hit, item ids found; ``row`` tells documents apart."""
+FOUND = "doc_id bigint, n_words bigint, row string, spans array<bigint>, items array<string>"
+#: Batches to batches, as a task runs them.
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _search(shared: Broadcast, within: int | None) -> Step:
+    """Index shards to FOUND: word spans hit and item ids found by document; ``row`` tells documents apart."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 shard = Shard.read(row)
                 hits = shared.value.hits(shard, within)
                 out: list[list] = [[], [], [], [], []]
@@ -218,7 +225,7 @@ def _search_block(index: DataFrame, shared: Broadcast, within: int | None) -> Da
                 names = ["doc_id", "n_words", "row", "spans", "items"]
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names)
 
-    return index.mapInArrow(search, "doc_id bigint, n_words bigint, row string, spans array<bigint>, items array<string>")
+    return search
 
 
 def _merge(spans: list[int]) -> tuple[list[int], int]:
@@ -232,6 +239,23 @@ def _merge(spans: list[int]) -> tuple[list[int], int]:
     return merged, sum(merged[1::2]) - sum(merged[::2])
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of FOUND to result rows, with spans made disjoint."""
+    for batch in batches:
+        spans = [_merge(x) for x in batch.column(3).to_pylist()]
+        ids = batch.column(4).to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0), batch.column(1), pa.array([n for _, n in spans], pa.int64()),
+                pa.array([len(x) for x in ids], pa.int64()),
+                pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in ids], pa.string()),
+                pa.array([n > 0 for _, n in spans], pa.bool_()),
+                pa.array(ids, pa.list_(pa.string())), pa.array([x for x, _ in spans], pa.list_(pa.int64())),
+            ],
+            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"],
+        )
+
+
 def matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -248,36 +272,21 @@ def matches(
     """
     shared = list(_blocks(_items(benchmark, item_column, "text"), window, item_block))
     index = store.written(build_index(docs), "postings")
-    found = _search_block(index, shared[0], within)
-    for block in shared[1:]:
-        found = found.unionByName(_search_block(index, block, within))
-    if len(shared) > 1:
-        found = found.groupBy("row").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-            F.flatten(F.collect_list("spans")).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        )
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = [_merge(x) for x in batch.column(2).to_pylist()]
-            ids = batch.column(3).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), pa.array([n for _, n in spans], pa.int64()),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in ids], pa.string()),
-                    pa.array([n > 0 for _, n in spans], pa.bool_()),
-                    pa.array(ids, pa.list_(pa.string())), pa.array([x for x, _ in spans], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "spans"],
-            )
-
     schema = (
         "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string,"
         " contaminated boolean, items array<string>, spans array<bigint>"
     )
-    return found.select("doc_id", "n_words", "spans", "items").mapInArrow(merged, schema)
+    if len(shared) == 1:
+        # Nothing to bring together: search and merge in one Python process of a task.
+        search = _search(shared[0], within)
+        return index.mapInArrow(lambda batches: _merged(search(batches)), schema)
+    found = reduce(DataFrame.unionByName, [index.mapInArrow(_search(block, within), FOUND) for block in shared])
+    found = found.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    return found.select("doc_id", "n_words", "row", "spans", "items").mapInArrow(_merged, schema)
 
 
 def clean(
