@@ -58,6 +58,33 @@ def base_scores(docs):
     return out
 
 
+def level_mean(count):
+    """Mean count of the level that a count reaches."""
+    if not count:
+        return 0
+    level = max(i for i in range(60) if math.ceil(1.5**i) <= count)
+    return (math.ceil(1.5**level) + math.ceil(1.5 ** (level + 1)) - 1) / 2
+
+
+def pair_scores(docs, learned, smoothing=100):
+    """Scores by the levels of exact counts; None is the end mark."""
+    words, pairs = Counter(), Counter()
+    for _, text in learned:
+        tokens = [None, *TOKEN.findall(lower(text)), None]
+        words.update(tokens[1:])
+        pairs.update(zip(tokens, tokens[1:]))
+    denominator = sum(words.values()) + 0.1 * (len(words) + 1)
+    out = {}
+    for doc_id, text in docs:
+        tokens = [None, *TOKEN.findall(lower(text)), None]
+        out[doc_id] = 0
+        for v, w in zip(tokens, tokens[1:]):
+            before, own = level_mean(words[v]), (level_mean(words[w]) + 0.1) / denominator
+            both = min(level_mean(pairs[v, w]), before)
+            out[doc_id] += math.log10((both + smoothing * own) / (before + smoothing))
+    return out
+
+
 def removed(units, first, doc_id, length):
     """Which units a window that also starts in a smaller document covers."""
     gone = [False] * len(units)

@@ -127,6 +127,25 @@ def test_lm_base_scores(spark, rows):
         assert -1e6 < found[doc_id][5] <= 0
 
 
+@pytest.mark.parametrize(("bits", "blocks"), [(1 << 22, 1), (1 << 16, 4), (1 << 14, 20)])
+def test_lm_scores_whatever_the_filter_holds_at_a_time(spark, bits, blocks, monkeypatch):
+    """The words alone are more than the two smaller sizes hold."""
+    monkeypatch.setattr(lm, "STRETCH", 2000)
+    rng = random.Random(11)
+    common = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join(rng.choice(common) if rng.random() < 0.5 else f"r{rng.randrange(20_000)}" for _ in range(100))) for i in range(200)]
+    learned = [x for x in docs if x[0] % 10]
+    model, rare = lm.learn(frame(spark, docs), F.col("doc_id") % 10 != 0, bits=bits, heavy=64)
+    found = by_id(lm.score(frame(spark, docs), model, rare), "n_tokens", "score")
+    for doc_id, expected in brute.pair_scores(docs, learned).items():
+        n, score = found[doc_id]
+        assert n == 101 and score / n == pytest.approx(expected / n, abs=0.05)
+    if blocks == 1:
+        assert len(model.blocks) == 1
+    else:
+        assert len(model.blocks) >= blocks
+
+
 def test_filter_holds_what_was_put_in():
     rng = np.random.default_rng(5)
     own = np.unique(rng.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2))
