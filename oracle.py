@@ -129,8 +129,9 @@ SELECT product_name, CAST(bin AS INTEGER) AS bin,
 FROM placed GROUP BY product_name, bin, lo, hi"""
 
 
-def _growth(source: str, series: str, columns: str) -> str:
-    previous = f"LAG(monthly_demand_units) OVER (PARTITION BY {series} ORDER BY order_year_month)"
+def _growth(source: str, series: str, columns: str, ties: str = "") -> str:
+    previous = f"""LAG(monthly_demand_units) OVER (
+    PARTITION BY {series} ORDER BY order_year_month{ties})"""
     return f"""SELECT {columns},
   ROUND(CASE WHEN {previous} = 0 THEN NULL
         ELSE monthly_demand_units / {previous} - 1 END, 6) AS demand_growth_rate
@@ -239,11 +240,10 @@ SELECT {MONTHLY_COLUMNS} FROM monthly WHERE product_id = 2""",
         "products_highest_first": f"""WITH {FEATURES},
 summary AS (SELECT product_id, product_name, category_id, {TOTALS}
   FROM features GROUP BY product_id, product_name, category_id)
-SELECT *, ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product_id) AS place
-FROM summary QUALIFY place <= 50""",
+SELECT *, ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product_id) AS place FROM summary""",
         "monthly_in_order": f"""WITH {MONTHLY}, rounded AS (SELECT {MONTHLY_COLUMNS} FROM monthly)
 SELECT *, ROW_NUMBER() OVER (ORDER BY order_year_month, monthly_revenue DESC, product_id) AS place
-FROM rounded QUALIFY place <= 100""",
+FROM rounded""",
         "top_products_trend": f"WITH {CHART} SELECT {MONTHLY_COLUMNS} FROM chart",
         "focus_top_units": f"""WITH {MONTHLY},
 picked AS (SELECT product_id FROM monthly WHERE category_id = 1 GROUP BY product_id, product_name
@@ -257,6 +257,9 @@ FROM monthly GROUP BY order_year_month, category_id""",
         "category_share_of_one": f"""WITH {MONTHLY}, {SHARE}
 SELECT * FROM share WHERE category_id = 1""",
         "demand_growth": f"WITH {MONTHLY} {monthly_growth}",
+        "demand_growth_by_name": f"""WITH {MONTHLY},
+named AS (SELECT * FROM monthly WHERE product_name IS NOT NULL)
+{_growth("named", "product_name", MONTHLY_COLUMNS, ", product_id, category_id")}""",
         "period_summary": f"""WITH {MONTHLY}
 SELECT product_id, product_name,
        CAST(SUM(monthly_demand_units) AS BIGINT) AS total_demand_units,

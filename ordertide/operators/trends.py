@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordertide.functions import ratio
+from ordertide.operators.ordering import with_previous
 
 #: Key of the monthly table besides the month.
 SERIES = ("product_id", "product_name", "category_id")
@@ -129,15 +130,22 @@ def demand_growth(
 
     The first month, and any month after one with zero units, has null growth. The
     default series is the monthly table's key, so a window partition holds one row per
-    month. Pass ``series=("product_name",)`` to follow names across product ids; rows
-    without a name are then left out.
+    month, and so it does for totals that have no product at all. Pass
+    ``series=("product_name",)`` to follow names across product ids; rows without a name
+    are then left out. A name may stand for any number of products, so its rows are
+    followed over the ranges of a sort, of which a long series fills several.
     """
     if "product_name" in series and "product_id" not in series:
         monthly = monthly.where(F.col("product_name").isNotNull())
-    ties = [c for c in ("product_id", "product_name", "category_id") if c in monthly.columns]
+    ties = [c for c in SERIES if c in monthly.columns]
     order = [F.asc_nulls_last(c) for c in ("order_year_month", *ties) if c not in series]
-    before = F.lag(units).over(Window.partitionBy(*series).orderBy(*order))
-    return monthly.withColumn("demand_growth_rate", ratio(F.col(units), before) - 1)
+    growth = ratio(F.col(units), F.col("_before")) - 1
+    if "product_id" in series or "product_id" not in monthly.columns:
+        before = F.lag(units).over(Window.partitionBy(*series).orderBy(*order))
+        followed = monthly.withColumn("_before", before)
+    else:
+        followed = with_previous(monthly, series, order, units, "_before")
+    return followed.withColumn("demand_growth_rate", growth).drop("_before")
 
 
 def period_summary(monthly: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
 """Every registered query against its SQL, value by value."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import __spark_entry__ as entry
 import duckdb
 import pytest
-from conftest import SMALL
+from conftest import ROOT, SMALL
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 TYPES = {
@@ -52,3 +55,15 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 200
+
+
+def test_a_missing_package_of_the_text_operators_leaves_all_other_queries(tmp_path):
+    """In a Python of its own, where one of their packages cannot be imported."""
+    (tmp_path / "ahocorasick.py").write_text("raise ImportError('blocked')\n")
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), len(e._own_queries()))"
+    found = subprocess.run(
+        [sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True,
+        env=os.environ | {"PYTHONPATH": str(tmp_path)},
+    )
+    registered, with_sql, own = map(int, found.stdout.split())
+    assert registered == with_sql == own

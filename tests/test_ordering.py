@@ -1,0 +1,100 @@
+"""Places, running totals and neighbours over whole orders, against a plain restatement."""
+
+import random
+
+import __spark_entry__ as entry
+import pytest
+from conftest import SMALL, rows
+from ordertide.operators import ordering, trends
+from pyspark.sql import functions as F
+
+TABLE = "key string, month string, product_id bigint, units bigint, place string"
+
+
+def made(seed, n=500):
+    """Ties, nulls, and one key that holds a third of the rows."""
+    rng = random.Random(seed)
+    keys = [None, "a", "b", "c"]
+    return [
+        (
+            "hot" if rng.random() < 0.4 else rng.choice(keys),
+            f"2024-{rng.randrange(1, 13):02}",
+            i,
+            rng.choice([None, 0, 1, 5, 9]),
+            "clash",
+        )
+        for i in range(n)
+    ]
+
+
+@pytest.fixture(params=[1, 7], ids=["one range", "ranges"])
+def cut(spark, request):
+    """One range or several, not merged again although they are small."""
+    names = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_row_has_its_place(cut):
+    table = made(1)
+    df = cut.createDataFrame(table, TABLE).drop("place")
+    found = ordering.placed(df.orderBy(F.desc("units"), "product_id"), {"before": "units"})
+    order = sorted((r[:4] for r in table), key=lambda r: (r[3] is None, -(r[3] or 0), r[2]))
+    before, expected = 0, []
+    for place, row in enumerate(order, 1):
+        expected.append((*row, before, place))
+        before += row[3] or 0
+    assert [tuple(r) for r in found.orderBy("place").collect()] == expected
+
+
+def test_the_sort_is_whole_and_no_window_covers_the_table(cut):
+    df = cut.createDataFrame(made(2), TABLE).drop("place")
+    ordered = ordering.highest_first(df, "units", "product_id")
+    plan = executed(ordered)
+    assert "rangepartitioning" in plan and "TakeOrdered" not in plan
+    plan = executed(ordering.placed(ordered, {"before": "units"}))
+    assert "TakeOrdered" not in plan and "Limit" not in plan
+    windows = [x for x in plan.split("Initial Plan")[0].split("\n") if " Window " in x]
+    assert windows and all("[_range" in x for x in windows)
+
+
+def test_empty_frames_and_clashing_names(cut):
+    df = cut.createDataFrame(made(3), TABLE)
+    assert ordering.placed(df.drop("place").limit(0).orderBy("key")).count() == 0
+    placed = ordering.placed(df.drop("place").withColumn("_rows", F.lit("x")).orderBy("product_id"))
+    assert placed.where("place = product_id + 1 AND _rows = 'x'").count() == 500
+    with pytest.raises(ValueError, match="already has"):
+        ordering.placed(df.orderBy("key"))
+    assert ordering.with_previous(df.limit(0), ["key"], ["month"], "units", "previous").count() == 0
+
+
+@pytest.mark.parametrize("series", [["key"], ["key", "month"]])
+def test_the_row_before_in_a_series_of_any_length(cut, series):
+    table = made(4)
+    df = cut.createDataFrame(table, TABLE)
+    order = [c for c in ("month", "product_id") if c not in series]
+    found = rows(ordering.with_previous(df, series, order, "units", "previous").drop("place"))
+    last, expected = {}, []
+    for row in sorted(table, key=lambda r: (r[1], r[2])):
+        key = tuple(row[["key", "month"].index(c)] for c in series)
+        expected.append((*row[:4], last.get(key)))
+        last[key] = row[3]
+    assert found == sorted(expected, key=lambda r: [(x is not None, x) for x in r])
+
+
+def test_growth_by_name_equals_the_window(cut):
+    monthly = entry._monthly(cut, SMALL).where("category_id < 6")
+    found = trends.demand_growth(monthly, series=("product_name",))
+    before = "lag(monthly_demand_units) OVER (PARTITION BY product_name ORDER BY order_year_month, product_id, category_id)"
+    expected = monthly.withColumn("demand_growth_rate", F.expr(f"try_divide(monthly_demand_units, {before}) - 1"))
+    assert rows(found.drop("monthly_revenue")) == rows(expected.drop("monthly_revenue"))
+    assert found.columns == expected.columns

@@ -3,7 +3,7 @@
 import pytest
 from conftest import rows
 from ordertide import schemas
-from ordertide.operators import cleaning, demand, fulfillment
+from ordertide.operators import cleaning, demand, fulfillment, ordering, trends
 from ordertide.plans import demand as plans
 from ordertide.sources import retail
 from pyspark.sql import functions as F
@@ -131,3 +131,19 @@ def test_copies_of_one_line_shrink_before_the_shuffle(skew_aware, stored):
 def test_schemas_match(skew_aware, stored):
     lines, _, _ = load(skew_aware, stored, "pair")
     assert [f.dataType for f in lines.schema] == [f.dataType for f in schemas.ORDER_DETAILS]
+
+
+def test_a_hot_name_is_followed_over_ranges(skew_aware, stored, monkeypatch):
+    """A third of the rows have one name; it fills several ranges, and growth equals the window's."""
+    skew_aware.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    hot = F.when(F.col("product_id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("product_id") % 50))
+    monthly = plans.product_demand_monthly(*load(skew_aware, stored, "product")).withColumn("product_name", hot)
+    kept = []
+    real = ordering.in_ranges
+    monkeypatch.setattr(ordering, "in_ranges", lambda *a: kept.append(real(*a)) or kept[0])
+    grown = trends.demand_growth(monthly, series=("product_name",)).select("order_year_month", "product_id", "demand_growth_rate")
+    before = "lag(monthly_demand_units) OVER (PARTITION BY product_name ORDER BY order_year_month, product_id, category_id)"
+    expected = monthly.selectExpr("order_year_month", "product_id", f"try_divide(monthly_demand_units, {before}) - 1")
+    assert rows(grown) == rows(expected)
+    assert kept[0].where("product_name = 'hot'").select("_range").distinct().count() > 2
+    skew_aware.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
