@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, hosts, language, lm, near, search, sql, substrings, suffixes, toxicity
+from . import bpe, codes, decontaminate, hosts, interactions, language, lm, near, search, shards, sql, store, substrings, suffixes, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,6 +81,22 @@ def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return interactions.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    assigned = shards.assign(_table(spark, folder, "documents"), 16)
+    return assigned.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = codes.encode_values(_table(spark, folder, "embeddings"))
+    codebooks = codes.learn(encoded)
+    coded = codes.with_label_error(store.written(codes.assign(encoded, codebooks), "codes"))
+    return coded.drop("label").withColumn("codebooks_sha256", F.lit(codebooks.digest))
+
+
 def queries() -> dict:
     return {
         "op1_decontamination": op1_decontamination,
@@ -93,6 +109,9 @@ def queries() -> dict:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_host_reputation": op9_host_reputation,
         "op10_topk_search": op10_topk_search,
+        "op11_filter_interactions": op11_filter_interactions,
+        "op12_sharding": op12_sharding,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
@@ -104,4 +123,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_minhash_near_dedup": sql.NEAR,
         "op9_host_reputation": sql.hosts(RULES, hosts.Z, hosts.THRESHOLD),
         "op10_topk_search": sql.TOP_K,
+        "op11_filter_interactions": sql.INTERACTIONS,
+        "op12_sharding": sql.SHARDS,
+        "op13_vector_codes": sql.vector_codes(),
     }

@@ -1,6 +1,7 @@
 """Plain restatements of the contracts, one document after the other, to test against."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -161,3 +162,97 @@ def top(vectors, every=50, best=5):
             scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole.items() if i != q)
             out |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:best], 1)}
     return out
+
+
+def interactions(docs, labels):
+    """(part, order, step) to the counts; ``docs`` are (doc_id, text, part), ``labels`` (doc_id, quality, toxic)."""
+    marks = {}
+    for doc_id, quality, toxic in labels:
+        good, bad = marks.get(doc_id, (False, False))
+        marks[doc_id] = (good or quality == 1, bad or toxic == 1)
+    rows = []
+    for doc_id, text, part in docs:
+        text = text or ""
+        words = TOKEN.findall(text)
+        earlier = doc_id is not None and any((t or "") == text and i is not None and i < doc_id for i, t, _ in docs)
+        tests = (
+            len(words) < 200, 100 * len(set(words)) < 50 * len(words), 100 * sum("A" <= c <= "Z" for c in text) > 3 * len(text),
+            any(c in "#$%&*|" for c in text), earlier,
+        )
+        fails = {x for x, failed in zip("ABCDE", tests, strict=True) if failed}
+        rows.append((part or "", fails, *(marks.get(doc_id, (False, False)) if doc_id is not None else (False, False))))
+    out = {}
+    for part in {r[0] for r in rows}:
+        own = [r[1:] for r in rows if r[0] == part]
+        removed_by = Counter()
+        for order in itertools.permutations("ABCDE"):
+            left = own
+            for step, x in enumerate(order, 1):
+                gone = [r for r in left if x in r[0]]
+                left = [r for r in left if x not in r[0]]
+                removed_by[x] += len(gone)
+                failing = sum(x in r[0] for r in own)
+                alone = sum(r[0] == {x} for r in own)
+                out[part, "".join(order), step] = (len(left), len(gone), failing - len(gone), alone, sum(r[1] for r in gone), sum(r[2] for r in gone))
+        for (p, order, step), found in list(out.items()):
+            if p == part:
+                out[p, order, step] = (*found, removed_by[order[step - 1]])
+    return out
+
+
+def shards(docs, shards):
+    """doc_id and text in order to (shard, slot), by trying capacities one after the other."""
+    groups = {}
+    for doc_id, text in sorted(docs):
+        groups.setdefault(text or "", []).append(doc_id)
+    groups = list(groups.items())
+    sizes = [len(ids) * (len(text.encode()) + 1) for text, ids in groups]
+
+    def cut(capacity):
+        out, used, shard = [], 0, 0
+        for size in sizes:
+            if size > capacity:
+                return None
+            if used + size > capacity:
+                shard, used = shard + 1, 0
+            used += size
+            out.append(shard)
+        return out if not out or out[-1] < shards else None
+
+    low, high = 0, max(1, sum(sizes))
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if cut(middle) else (middle, high)
+    slots, out = Counter(), {}
+    for (text, ids), shard in zip(groups, cut(high) or [], strict=True):
+        for doc_id in ids:
+            out[doc_id] = (shard, slots[shard], len(text.encode()) + 1, zlib.crc32(text.encode()))
+            slots[shard] += 1
+    return out
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6):
+    """vec_id and vector to (code, error), and the digest of the codebooks, with plain integers."""
+    kept = [(i, [math.floor(4096 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = len(kept[0][1]) // parts
+    cut = [[v[p * width : (p + 1) * width] for p in range(parts)] for _, v in kept]
+    first = {}
+    for i, v in sorted(kept):
+        first.setdefault(i, v)
+    books = [[v[p * width : (p + 1) * width] for v in list(first.values())[:entries]] for p in range(parts)]
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, entry, strict=True)), e) for e, entry in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            chosen = [nearest(v[p], books[p])[1] for v in cut]
+            for e in range(len(books[p])):
+                own = [v[p] for v, c in zip(cut, chosen, strict=True) if c == e]
+                if own:
+                    books[p][e] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    found = []
+    for (i, _), v in zip(kept, cut, strict=True):
+        near = [nearest(v[p], books[p]) for p in range(parts)]
+        found.append((i, "".join(f"{e:02x}" for _, e in near), sum(d for d, _ in near)))
+    return found, sha(",".join(str(x) for book in books for entry in book for x in entry))

@@ -354,7 +354,7 @@ def test_empty_tables(spark):
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages", "embeddings"):
+    for table in ("documents", "benchmark", "pages", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     expected = con.sql(queries.oracle_sql()[name])
     columns = sorted(expected.columns)
