@@ -44,7 +44,6 @@ MEMBER_BLOCK = 4000
 _RNG = np.random.default_rng(8)
 _XOR = _RNG.integers(0, 1 << 32, VALUES, dtype=np.uint32)[:, None]
 _FACTOR = (_RNG.integers(0, 1 << 31, VALUES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
-_SECOND = np.uint64(0x8CB92BA72F3D8DD7)
 
 
 def shingles(found: text.Words, row: int, windows: np.ndarray) -> np.ndarray:
@@ -102,9 +101,7 @@ def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
                     own = shingles(found, row, windows)
                     sizes[row] = len(own)
                     values[row] = minhash(own)
-                k1 = text.range_hashes(prefix, found.rows[:-1], found.rows[1:])
-                other = text.prefix_hashes(text.mixed(found.hashes ^ _SECOND))
-                k2 = text.range_hashes(other, found.rows[:-1], found.rows[1:])
+                k1, k2 = text.sequence_hashes(found).T
                 filled = np.where(sizes > 0, VALUES // BAND, 0)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(filled)]), pa.int32()), pa.array(bands(values[sizes > 0]).ravel(), pa.int64())
@@ -113,7 +110,7 @@ def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
                     pa.array(np.arange(n + 1) * (SKETCH_BITS // 64), pa.int32()), pa.array(odd_sketches(values).ravel(), pa.int64())
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), pa.array(sizes), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), sketch, lists],
+                    [batch.column(0).slice(first, n), pa.array(sizes), pa.array(k1), pa.array(k2), sketch, lists],
                     names=["doc_id", "n_shingles", "k1", "k2", "sketch", "bands"],
                 )
 

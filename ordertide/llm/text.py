@@ -3,6 +3,11 @@
 A text column is cut into slices of about half a megabyte, so the arrays below stay
 small whatever the batch; one text alone may exceed that and is then a slice.
 All hashes are 64 bits and depend on bytes only, so every worker agrees.
+
+Sequences have polynomial hashes modulo 2**64. Of those, a sequence of 1,024 or more units that
+alternate by the parity of their places' bits and its mirror image are alike whatever the base,
+so they serve short sequences only: words of up to 32 bytes, and up to a hundred words or bytes.
+Longer ones are hashed by xxHash, which is not linear.
 """
 
 from __future__ import annotations
@@ -13,8 +18,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 1 << 19
+#: Bytes of a word up to which its hash is a polynomial.
+LONG_WORD = 32
 U64 = np.uint64
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -149,12 +157,24 @@ def words(data: np.ndarray, offsets: np.ndarray, rule: Rule) -> Words:
     after[:-1] = inside[1:]
     end = np.flatnonzero(inside & (~after | edge[1:])) + 1
     values = _VALUES[_LOWER] if rule.lower else _VALUES
-    prefix = prefix_hashes(values[data])
-    return Words(start, end, range_hashes(prefix, start, end), np.searchsorted(start, offsets))
+    hashes = range_hashes(prefix_hashes(values[data]), start, end)
+    for i in np.flatnonzero(end - start > LONG_WORD):
+        word = data[start[i] : end[i]]
+        hashes[i] = xxhash.xxh3_64_intdigest((_LOWER[word] if rule.lower else word).tobytes())
+    return Words(start, end, hashes, np.searchsorted(start, offsets))
+
+
+def sequence_hashes(found: Words) -> np.ndarray:
+    """128 bits, as two signed numbers, of each row's whole sequence of words."""
+    raw, at = found.hashes.tobytes(), (found.rows * 8).tolist()
+    digests = b"".join(xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True))
+    return np.frombuffer(digests, np.int64).reshape(-1, 2)
 
 
 def hash_word(word: bytes) -> int:
     """The hash that :func:`words` gives a word, already lower-cased where the rule says so."""
+    if len(word) > LONG_WORD:
+        return xxhash.xxh3_64_intdigest(word)
     data = np.frombuffer(word, np.uint8)
     ends = np.array([len(data)])
     return int(range_hashes(prefix_hashes(_VALUES[data]), np.zeros(1, np.int64), ends)[0])

@@ -75,6 +75,38 @@ def test_words_and_hashes():
     assert found.hashes[0] == found.hashes[2] != found.hashes[1]
 
 
+def look_alikes(first, second, n=1024):
+    """The alternating-parity sequence and its mirror image: alike under any polynomial modulo 2**64."""
+    parity = [bin(i).count("1") & 1 for i in range(n)]
+    return [(first, second)[x] for x in parity], [(second, first)[x] for x in parity]
+
+
+def test_look_alike_words_and_sequences_are_told_apart(spark):
+    one, other = ("".join(x) for x in look_alikes("a", "b"))
+    before, after = " ".join(f"x{i}" for i in range(30)), " ".join(f"y{i}" for i in range(30))
+    rows = [(0, f"{before} {one} {after}"), (1, f"{before} {other} {after}"), (2, other), (3, one), (4, f"q {one}"), (5, f"q {other}")]
+    rows += [(6 + i, " ".join(x)) for i, x in enumerate(look_alikes("left", "right"))]
+    rows += [(8 + i, f"begin {' '.join(x)} end end end") for i, x in enumerate(look_alikes("l", "r", 2048))]
+    docs = frame(spark, rows)
+    items = [(1, one)]
+    found = by_id(decontaminate.matches(docs, spark.createDataFrame(items, "item_id bigint, text string")), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert found == brute.decontaminate(rows, items)
+    scored = docs.withColumn("held_out", queries._fold(10) == 0)
+    model, rare = lm.learn(scored, ~F.col("held_out"))
+    columns = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score")
+    found, expected = by_id(lm.score(scored, model, rare, columns=("doc_id", "held_out")), *columns), brute.base_scores(rows)
+    for i, own in expected.items():
+        assert found[i][:4] == own[:4] and found[i][4] == pytest.approx(own[4])
+    assert by_id(queries_digest(substrings.deduplicate(docs)), "n_words", "n_removed", "kept_sha256") == brute.substrings(rows)
+    found = suffixes.deduplicate(docs).withColumn("kept_sha256", F.sha2("kept", 256))
+    assert by_id(found, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffixes(rows)
+    assert by_id(near.components_of(docs), "n_shingles", "component_id", "kept") == brute.near(rows)
+
+
+def queries_digest(found):
+    return found.withColumn("kept_sha256", F.sha2("kept", 256))
+
+
 def test_packed_keys():
     found = np.sort(np.random.default_rng(0).integers(0, 1 << 64, 1000, dtype=np.uint64))
     assert (keys.unpack(keys.pack(found)) == found).all()
