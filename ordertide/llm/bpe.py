@@ -6,7 +6,8 @@ longest token that begins there; a token may follow another only if the two are
 what BPE itself makes of their joint bytes, which is decided once per pair and
 remembered; and where no token fits, the walk goes back and takes the next
 shorter one. Each byte is tried at most once, so the time is linear. Encoded
-pre-tokens are remembered by each task up to a fixed number.
+pre-tokens are remembered by each worker, in its later tasks too, up to a fixed
+number of bytes; long ones are not.
 
 Null is an empty text; an empty text has no tokens. Decoding gives the exact
 bytes back. Rows are independent, repeated rows are encoded again, and only the
@@ -16,6 +17,8 @@ named columns are read.
 from __future__ import annotations
 
 import base64
+import hashlib
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -29,8 +32,11 @@ from pyspark.sql import functions as F
 
 from . import store, text
 
-#: Pre-tokens and pairs that a task remembers before it starts afresh.
-REMEMBERED = 200_000
+#: Bytes that each of a worker's two generations of remembered pre-tokens takes at most, and what
+#: an entry takes beside its text and ids. Longer pre-tokens are encoded each time.
+REMEMBERED_BYTES, ENTRY_BYTES, LONGEST = 48 << 20, 160, 64
+#: Pairs of tokens of which a worker remembers at most whether they may stand side by side.
+REMEMBERED_PAIRS = 1 << 17
 _NONE = -1
 
 
@@ -47,15 +53,18 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        size = max(ranks.values(), default=-1) + 1
+        self.lengths = [0] * size
+        #: The longest token that a token begins with, other than itself.
+        self.prefix = [_NONE] * size
         #: Ids of the two tokens that merge into a token; single bytes have none.
         self.parts: dict[int, tuple[int, int]] = {}
         self.pairs: dict[tuple[int, int], int] = {}
-        self.prefix: dict[int, int] = {}
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}
         automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            automaton.add_word(token.decode("latin-1"), rank)
+            self.lengths[rank] = len(token)
+            automaton.add_word(token.decode("latin-1"), (len(token) - 1, rank))
         automaton.make_automaton()
         self.automaton = automaton
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
@@ -80,11 +89,12 @@ class Encoder:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether BPE keeps the two as they are when their bytes stand side by side."""
-        known = self._compatible.get((left, right))
+        pair = left << 32 | right
+        known = self._compatible.get(pair)
         if known is None:
-            if len(self._compatible) >= REMEMBERED:
+            if len(self._compatible) >= REMEMBERED_PAIRS:
                 self._compatible.clear()
-            known = self._compatible[left, right] = self._decide(left, right)
+            known = self._compatible[pair] = self._decide(left, right)
         return known
 
     def _decide(self, left: int, right: int) -> bool:
@@ -114,56 +124,87 @@ class Encoder:
                     right = parts[0]
 
     def longest(self, piece: bytes) -> list[int]:
-        """At each byte, the longest token that begins there."""
+        """At each byte, the longest token that begins there: matches come by their ends, so the last one."""
         out = [_NONE] * len(piece)
-        tokens = self.tokens
-        for end, rank in self.automaton.iter(piece.decode("latin-1")):
-            begin = end + 1 - len(tokens[rank])
-            if out[begin] == _NONE or len(tokens[out[begin]]) < end + 1 - begin:
-                out[begin] = rank
+        for end, (before, rank) in self.automaton.iter(piece.decode("latin-1")):
+            out[end - before] = rank
         return out
 
     def encode(self, piece: bytes) -> list[int]:
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        longest, tokens = self.longest(piece), self.tokens
-        fits = bytearray(b"\x01") * (len(piece) + 1)
+        longest, lengths, prefix, known = self.longest(piece), self.lengths, self.prefix, self._compatible
+        size = len(piece)
+        fits = bytearray(b"\x01") * (size + 1)
         ids: list[int] = []
-        at, token = 0, longest[0]
-        while at < len(piece):
+        at, token, last = 0, longest[0], _NONE
+        while at < size:
             while token != _NONE:
-                end = at + len(tokens[token])
-                if fits[end] and (not ids or self.compatible(ids[-1], token)):
-                    break
-                token = self.prefix.get(token, _NONE)
+                end = at + lengths[token]
+                if fits[end]:
+                    if last == _NONE:
+                        break
+                    fitting = known.get(last << 32 | token)
+                    if fitting or fitting is None and self.compatible(last, token):
+                        break
+                token = prefix[token]
             if token != _NONE:
                 ids.append(token)
-                at = end
-                token = longest[at] if at < len(piece) else _NONE
+                at, last = end, token
+                token = longest[at] if at < size else _NONE
             else:
                 if not ids:
                     raise ValueError("the vocabulary lacks single bytes")
                 fits[at] = 0
                 token = ids.pop()
-                at -= len(tokens[token])
-                token = self.prefix.get(token, _NONE)
+                last = ids[-1] if ids else _NONE
+                at -= lengths[token]
+                token = prefix[token]
         return ids
 
 
 class Remembered(dict):
-    """Encoded pre-tokens as little-endian 32-bit ids."""
+    """Encoded pre-tokens as little-endian 32-bit ids, in two generations of bounded size.
+
+    When the younger one, this dictionary, is full, it becomes the older one and what was that is
+    forgotten; an entry that is asked for again moves to the younger one.
+    """
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, encoder: Encoder, most: int = REMEMBERED_BYTES):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.most = encoder, most
+        self.older: dict[str, bytes] = {}
+        self.size = 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        made = self.older.get(piece)
+        if made is None:
+            ids = self.encoder.encode(piece.encode())
+            made = struct.pack(f"<{len(ids)}I", *ids)
+            if len(piece) > LONGEST:
+                return made
+        if self.size >= self.most:
+            self.older = dict(self)
             self.clear()
-        made = self[piece] = np.array(self.encoder.encode(piece.encode()), "<u4").tobytes()
+            self.size = 0
+        self[piece] = made
+        self.size += ENTRY_BYTES + len(piece) + len(made)
         return made
 
 
+#: This worker's memory, by the digest of its vocabulary; one vocabulary at a time.
+_worker: dict[bytes, Remembered] = {}
+
+
+def remembered(raw: bytes) -> Remembered:
+    """What this worker has encoded so far by the ranks in ``raw``."""
+    digest = hashlib.sha256(raw).digest()
+    if digest not in _worker:
+        _worker.clear()
+        _worker[digest] = Remembered(Encoder(read_ranks(raw.split(b"\n"))))
+    return _worker[digest]
+
+
 def _vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """The rank file, read by the driver and broadcast."""
     store.ship(spark)
@@ -184,9 +225,9 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = regex.compile(pattern)
-        remembered = Remembered(Encoder(read_ranks(shared.value.split(b"\n"))))
+        known = remembered(shared.value)
         for batch in (part for whole in batches for part in text.parts(whole, 0)):
-            made = [b"".join(map(remembered.__getitem__, pieces.findall(x or ""))) for x in batch.column(0).to_pylist()]
+            made = [b"".join(map(known.__getitem__, pieces.findall(x or ""))) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k + 1) for k in range(len(columns))), pa.array(made, pa.binary()), pa.array([len(x) // 4 for x in made], pa.int64())],
                 names=[*columns, "ids", "n_tokens"],

@@ -149,6 +149,21 @@ def test_bpe_equals_tiktoken(spark, rows):
         assert encoder.encode(piece) == reference._core_bpe.encode_single_piece(piece)
 
 
+def test_remembered_pre_tokens_stay_bounded_in_two_generations():
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        raw = file.read()
+    known = bpe.remembered(raw)
+    assert bpe.remembered(raw) is known
+    encoder, small = known.encoder, bpe.Remembered(known.encoder, most=2_000)
+    rng = random.Random(3)
+    asked = ["".join(rng.choices("abcdeé 0", k=rng.choice((1, 3, 9, 70)))) for _ in range(300)]
+    for piece in asked * 2:
+        assert np.frombuffer(small[piece], "<u4").tolist() == encoder.encode(piece.encode())
+        assert small.size <= 2_000 + bpe.ENTRY_BYTES + 5 * bpe.LONGEST
+        assert len(piece) <= bpe.LONGEST or piece not in small
+    assert small.older
+
+
 def test_lm_base_scores(spark, rows):
     docs = frame(spark, rows).withColumn("held_out", queries._fold(10) == 0)
     model, rare = lm.learn(docs, ~F.col("held_out"), bits=1 << 16, heavy=16)
