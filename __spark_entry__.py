@@ -151,9 +151,14 @@ def _summary_by_order_key(key: str) -> Query:
     return query
 
 
+def customer_category_summary(spark: SparkSession, folder: str) -> DataFrame:
+    summary = plans.demand_by(*_tables(spark, folder), "customer_id", "category_id")
+    # As in the period summary, a billionth moves means off the point between two rounded values.
+    return _summary(summary.withColumn("avg_unit_price", F.col("avg_unit_price") + 1e-9))
+
+
 def category_demand_monthly(spark: SparkSession, folder: str) -> DataFrame:
-    monthly = plans.monthly_demand_by_product_attribute(*_tables(spark, folder), "category_id")
-    grown = trends.demand_growth(monthly, series=("category_id",))
+    grown = plans.category_demand_monthly(*_tables(spark, folder))
     return _money(_money(grown, "monthly_revenue"), "demand_growth_rate", digits=6)
 
 
@@ -384,6 +389,7 @@ def _own_queries() -> dict[str, Query]:
         "customer_summary": _summary_by_order_key("customer_id"),
         "supplier_summary": supplier_summary,
         "employee_summary": _summary_by_order_key("employee_id"),
+        "customer_category_summary": customer_category_summary,
         "category_demand_monthly": category_demand_monthly,
         "monthly_for_category": monthly_for_category,
         "monthly_for_product": monthly_for_product,

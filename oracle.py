@@ -228,6 +228,8 @@ SELECT customer_id, {TOTALS} FROM features GROUP BY customer_id""",
 SELECT supplier_id, {TOTALS} FROM features GROUP BY supplier_id""",
         "employee_summary": f"""WITH {FEATURES}
 SELECT employee_id, {TOTALS} FROM features GROUP BY employee_id""",
+        "customer_category_summary": f"""WITH {FEATURES}
+SELECT customer_id, category_id, {TOTALS.replace("AVG(unit_price)", "AVG(unit_price) + 1e-9")} FROM features GROUP BY customer_id, category_id""",
         "category_demand_monthly": f"""WITH {FEATURES},
 by_category AS ({_monthly("category_id")})
 {_growth("by_category", "category_id", category_columns)}""",

@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordertide import schemas
-from ordertide.functions import line_revenue, month_parts, ratio
+from ordertide.functions import calendar_parts, line_revenue, month_parts, ratio
 from ordertide.operators.cleaning import clean_order_details, clean_orders, clean_products
+from ordertide.operators.trends import demand_growth
 
 
 def _times_copies(*names: str) -> list[Column]:
@@ -123,19 +124,14 @@ def daily_product_demand(lines: DataFrame, orders: DataFrame, products: DataFram
     )
 
 
-def demand_by_order_attribute(
-    lines: DataFrame, orders: DataFrame, products: DataFrame, *keys: str
-) -> DataFrame:
-    """Units, revenue, distinct orders and mean unit price by customer, employee, or
-    another order column.
-
-    Lines are totalled per order before they meet the orders, so an order of any
-    length is one row in that join, and the distinct count that follows is over
-    orders already placed by their id.
-    """
-    per_order = (
-        lines.join(products.select("product_id"), "product_id")
-        .groupBy("order_id")
+def _per_order(lines: DataFrame, products: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Line totals per order and product or line attribute: an order of any length is one row
+    for each value of it that the order has."""
+    product_keys = [c for c in keys if c in products.columns and c != "product_id"]
+    line_keys = [c for c in keys if c not in product_keys]
+    return (
+        lines.join(products.select("product_id", *product_keys), "product_id")
+        .groupBy("order_id", *line_keys, *product_keys)
         .agg(
             F.sum("quantity").alias("_units"),
             F.sum(line_revenue()).alias("_revenue"),
@@ -143,9 +139,12 @@ def demand_by_order_attribute(
             F.count("unit_price").alias("_priced"),
         )
     )
+
+
+def _per_key(orders: DataFrame, per_order: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Totals per key of the orders, of what was totalled per order, or of both."""
     return (
-        orders.select("order_id", *keys)
-        .join(per_order, "order_id")
+        orders.join(per_order, "order_id")
         .groupBy(*keys)
         .agg(
             F.sum("_units").alias("total_demand_units"),
@@ -156,18 +155,18 @@ def demand_by_order_attribute(
     )
 
 
-def _per_order_and(lines: DataFrame, products: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Line totals per order and product attribute: a hot order is one row per value of it."""
-    return (
-        lines.join(products.select("product_id", *keys), "product_id")
-        .groupBy("order_id", *keys)
-        .agg(
-            F.sum("quantity").alias("_units"),
-            F.sum(line_revenue()).alias("_revenue"),
-            F.sum("unit_price").alias("_price"),
-            F.count("unit_price").alias("_priced"),
-        )
-    )
+def demand_by_order_attribute(
+    lines: DataFrame, orders: DataFrame, products: DataFrame, *keys: str
+) -> DataFrame:
+    """Units, revenue, distinct orders and mean unit price by customer, employee, or
+    another order column.
+
+    Lines are totalled per order before they meet the orders, so an order of any
+    length is one row in that join, and the distinct count that follows is over
+    orders already placed by their id.
+    """
+    order_side = orders.select(*dict.fromkeys(("order_id", *keys)))
+    return _per_key(order_side, _per_order(lines, products), keys)
 
 
 def demand_by_product_attribute(
@@ -175,28 +174,42 @@ def demand_by_product_attribute(
 ) -> DataFrame:
     """Units, revenue, distinct orders and mean unit price by category, supplier, or
     another product column."""
-    per_order = _per_order_and(lines, products, keys)
-    return (
-        orders.select("order_id")
-        .join(per_order, "order_id")
-        .groupBy(*keys)
-        .agg(
-            F.sum("_units").alias("total_demand_units"),
-            F.sum("_revenue").alias("total_revenue"),
-            F.countDistinct("order_id").alias("order_count"),
-            _mean_price().alias("avg_unit_price"),
-        )
-    )
+    return _per_key(orders.select("order_id"), _per_order(lines, products, keys), keys)
+
+
+#: Columns of the demand features that derive from a line alone, and from its order's date.
+_OF_LINES = ("demand_units", "revenue")
+_CALENDAR = ("order_year", "order_month", "order_year_month")
+
+
+def demand_by(lines: DataFrame, orders: DataFrame, products: DataFrame, *keys: str) -> DataFrame:
+    """Units, revenue, distinct orders and mean unit price by any columns of the order lines, the
+    orders, the products, and by the calendar columns; none is one row over all.
+
+    Two levels: lines are totalled per order and per key that is a product's or the line's own, and
+    those totals meet the orders, which bring the other keys. A hot order is a row per value of the
+    former, a hot customer or category is added up before the last shuffle.
+    """
+    of_orders = [c for c in keys if c in orders.columns and c != "product_id"]
+    calendar = [c for c in keys if c in _CALENDAR and c not in of_orders]
+    further = [c for c in keys if c not in of_orders and c not in calendar]
+    known = {*lines.columns, *products.columns, *_OF_LINES}
+    if unknown := [c for c in further if c not in known]:
+        raise ValueError(f"no column {', '.join(unknown)} in the lines, orders or products")
+    derived = {"demand_units": F.col("quantity"), "revenue": line_revenue()}
+    lines = lines.withColumns({c: derived[c] for c in further if c in derived})
+    dated = orders.withColumns({c: x for c, x in calendar_parts().items() if c in calendar})
+    order_side = dated.select(*dict.fromkeys(("order_id", *of_orders, *calendar)))
+    return _per_key(order_side, _per_order(lines, products, further), keys)
 
 
 def monthly_demand_by_product_attribute(
     lines: DataFrame, orders: DataFrame, products: DataFrame, *keys: str
 ) -> DataFrame:
     """Units, revenue and distinct orders per month and category, supplier, or another product column."""
-    per_order = _per_order_and(lines, products, keys)
     return (
         orders.select("order_id", F.trunc("order_date", "month").alias("_month"))
-        .join(per_order, "order_id")
+        .join(_per_order(lines, products, keys), "order_id")
         .groupBy("_month", *keys)
         .agg(
             F.sum("_units").alias("monthly_demand_units"),
@@ -207,6 +220,14 @@ def monthly_demand_by_product_attribute(
     )
 
 
+def category_demand_monthly(
+    lines: DataFrame, orders: DataFrame, products: DataFrame
+) -> DataFrame:
+    """Monthly demand per category, with the growth of its units against the month before."""
+    monthly = monthly_demand_by_product_attribute(lines, orders, products, "category_id")
+    return demand_growth(monthly, series=("category_id",))
+
+
 def cleaned(
     order_details: DataFrame, orders: DataFrame, products: DataFrame, lenient: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -102,21 +102,8 @@ def _same_table(source: Source, sink: Sink) -> bool:
     return sink.table is None and source.path == sink.path
 
 
-def _features(
-    lines: DataFrame, orders: DataFrame, products: DataFrame, order_columns: Sequence[str] = ()
-) -> DataFrame:
-    return demand.with_demand_features(demand.demand_base(lines, orders, products, order_columns))
-
-
-def _demand_summary(
-    lines: DataFrame, orders: DataFrame, products: DataFrame, *by: str
-) -> DataFrame:
-    """Totals by any columns of the orders, the products, or both."""
-    if set(by) <= set(orders.columns):
-        return plans.demand_by_order_attribute(lines, orders, products, *by)
-    known = schemas.DEMAND_FEATURES.fieldNames()
-    further = [c for c in by if c not in known]
-    return demand.demand_by(_features(lines, orders, products, further), *by)
+def _features(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    return demand.with_demand_features(demand.demand_base(lines, orders, products))
 
 
 def _fulfillment(orders: DataFrame) -> DataFrame:
@@ -196,11 +183,13 @@ REPORTS: Mapping[str, Report] = {
     ),
     "category_demand_monthly": Report(
         "category_demand_monthly",
-        lambda *tables: demand.category_demand_monthly(_features(*tables)),
-        demand.category_demand_monthly,
+        plans.category_demand_monthly,
+        lambda features: trends.demand_growth(
+            demand.category_demand_monthly(features), series=("category_id",)
+        ),
     ),
     "demand_summary": Report(
-        "demand_summary", _demand_summary, demand.demand_by, in_order=_by_revenue, keyed=True
+        "demand_summary", plans.demand_by, demand.demand_by, in_order=_by_revenue, keyed=True
     ),
     "service_kpis": Report("service_kpis", _service_kpis, keyed=True),
     "demand_and_service": Report("demand_and_service", _demand_and_service, keyed=True),

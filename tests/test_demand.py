@@ -155,6 +155,15 @@ def test_reports_from_tables_equal_join_then_aggregate(spark, seed):
         right = demand.demand_by(joined, key)
         assert left.dtypes == right.dtypes
         assert rows(left) == rows(right)
+    for keys in (
+        (), ("customer_id", "category_id"), ("order_year_month", "employee_id", "supplier_id"), ("product_id", "customer_id"),
+        ("order_id",), ("product_id", "order_id"), ("quantity", "discount"), ("revenue", "order_year", "demand_units", "product_name"),
+    ):
+        left, right = plans.demand_by(*tables, *keys), demand.demand_by(joined, *keys)
+        assert left.dtypes == right.dtypes
+        assert rows(left) == rows(right)
+    with pytest.raises(ValueError, match="no column nope"):
+        plans.demand_by(*tables, "nope")
     joined.unpersist()
 
 

@@ -122,6 +122,7 @@ def shipped_inputs(spark, inputs, tmp_path_factory):
         ("category_demand_monthly", [], "category_demand_monthly"),
         ("demand_summary", ["category_id"], "category_summary"),
         ("demand_summary", ["customer_id"], "customer_summary"),
+        ("demand_summary", ["customer_id", "category_id"], "customer_category_summary"),
         ("service_kpis", [], "service_kpis"),
         ("service_kpis", ["shipper"], "service_kpis_by_shipper"),
         ("service_kpis", ["product_id"], "service_kpis_by_product"),
@@ -147,6 +148,20 @@ def test_summary_by_an_order_and_a_product_column(spark, shipped_inputs, tmp_pat
     assert stored.count() == 125
 
 
+def test_the_growth_column_is_in_the_category_job(spark, shipped_inputs, tmp_path):
+    args = parsed("category_demand_monthly", "--config", CONFIG, "--input-folder", shipped_inputs,
+                  "--output", str(tmp_path / "out"), "--limit", "0")
+    stored = cli.report_job(args).run(spark)
+    assert stored.columns == entry.queries()["category_demand_monthly"](spark, SMALL).columns
+    base = str(tmp_path / "base")
+    cli.report_job(parsed("product_demand_base", "--config", CONFIG, "--input-folder", shipped_inputs,
+                          "--output", base, "--limit", "0")).run(spark)
+    again = cli.report_job(parsed("category_demand_monthly", "--config", CONFIG, "--base", base,
+                                  "--output", str(tmp_path / "again"), "--limit", "0")).run(spark)
+    exact = ["order_year_month", "category_id", "monthly_demand_units", "monthly_order_count", "demand_growth_rate"]
+    assert rows(again.select(exact)) == rows(stored.select(exact))
+
+
 @pytest.mark.parametrize("name", list(jobs.ANALYSES))
 def test_analyses_of_a_stored_monthly_table(spark, inputs, tmp_path, name):
     monthly = str(tmp_path / "monthly")

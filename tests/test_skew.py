@@ -1,10 +1,13 @@
 """One key holding a third of the lines: results stay whole, and the work is split."""
 
+import re
+
 import pytest
 from conftest import rows
 from ordertide import schemas
 from ordertide.operators import cleaning, demand, fulfillment, ordering, trends
 from ordertide.plans import demand as plans
+from ordertide.plans import jobs
 from ordertide.sources import retail
 from pyspark.sql import functions as F
 
@@ -147,3 +150,26 @@ def test_a_hot_name_is_followed_over_ranges(skew_aware, stored, monkeypatch):
     assert rows(grown) == rows(expected)
     assert kept[0].where("product_name = 'hot'").select("_range").distinct().count() > 2
     skew_aware.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize(
+    ("report", "by"),
+    [("demand_summary", ("category_id",)), ("demand_summary", ("customer_id", "category_id")), ("category_demand_monthly", ())],
+)
+def test_jobs_total_a_hot_order_before_it_meets_the_orders(skew_aware, stored, report, by):
+    """The registered plans, run as jobs: lines never meet the orders one by one."""
+    sources = {
+        "order_details": jobs.Source(path=f"{stored}/order"),
+        "orders": jobs.Source(path=f"{stored}/orders"),
+        "products": jobs.Source(path=f"{stored}/products"),
+    }
+    built = jobs.ReportJob(report, sources, jobs.Sink(path="o"), by=by).build(skew_aware)
+    found, plan = executed(exact(built))
+    levels = re.findall(r"HashAggregate\(keys=\[order_id#\d+L, category_id#\d+L\]", plan)
+    assert levels, plan
+    features = demand.with_demand_features(demand.demand_base(*load(skew_aware, stored, "order")))
+    if by:
+        assert found == rows(exact(demand.demand_by(features, *by)))
+    else:
+        monthly = demand.category_demand_monthly(features)
+        assert [r[:6] for r in found] == rows(exact(monthly))
