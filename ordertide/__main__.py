@@ -170,7 +170,12 @@ def probe_job(args: argparse.Namespace) -> jobs.ProbeJob:
         password=setting(args.db_password, args.db_password_env or PASSWORD_ENV),
         driver=args.jdbc_driver,
     )
-    return jobs.ProbeJob(jobs.Source(connection, qualified(args.jdbc_input_table)), args.limit)
+    return jobs.ProbeJob(jobs.Source(connection, _qualified(args.jdbc_input_table)), args.limit)
+
+
+def _qualified(table: str | None) -> str | None:
+    """The table with its schema; nothing, and a query in parentheses, stay as they are."""
+    return table if not table or table.lstrip().startswith("(") else qualified(table)
 
 
 def transform_job(args: argparse.Namespace) -> jobs.TransformJob:
@@ -190,11 +195,11 @@ def transform_job(args: argparse.Namespace) -> jobs.TransformJob:
     module, _, function = args.function.partition(":")
     return jobs.TransformJob(
         source=jobs.Source(
-            connection or None, args.jdbc_input_table, args.input, args.input_format, read
+            connection or None, _qualified(args.jdbc_input_table), args.input, args.input_format, read
         ),
         transform=getattr(import_module(module), function or "transform"),
         sink=jobs.Sink(
-            connection or None, args.jdbc_output_table, args.output,
+            connection or None, _qualified(args.jdbc_output_table), args.output,
             connections=args.connections, split=read_back,
         ),
         preview_rows=args.limit,

@@ -5,9 +5,10 @@ The preview reads the stored result, so a job runs its plan once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from ordertide import schemas
 from ordertide.operators import charts, demand, fulfillment, ordering, quality, trends
 from ordertide.operators.cleaning import cast_columns, named_as
 from ordertide.plans import demand as plans
-from ordertide.sources import readers, writers
+from ordertide.sources import identity, readers, writers
 from ordertide.sources.settings import Connection, Settings
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -94,12 +95,29 @@ class Sink:
         return readers.read_parquet(df.sparkSession, self.path)
 
 
-def _same_table(source: Source, sink: Sink) -> bool:
+def _overwrites(sink: Sink, source: Source) -> bool:
     """Whether a sink would overwrite what the source reads."""
     if source.connection and source.table:
-        both = sink.connection is not None and source.connection.url == sink.connection.url
-        return both and (sink.table or "").lower() == source.table.lower()
-    return sink.table is None and source.path == sink.path
+        if not (sink.connection and sink.table):
+            return False
+        return identity.same_table(
+            source.connection.url, source.table, sink.connection.url, sink.table
+        )
+    if sink.connection and sink.table:
+        return False
+    return identity.overlapping(source.path, sink.path)
+
+
+def _refuse_overwrites(sources: Iterable[Source], sinks: Iterable[Sink]) -> None:
+    """All of a job's sources against all of its sinks, before anything is read."""
+    sinks = list(sinks)
+    for source in sources:
+        for sink in sinks:
+            if _overwrites(sink, source):
+                raise ValueError(
+                    f"the sink {sink.table or sink.path} is the source's own table or folder: "
+                    "an overwrite would empty it before it is read"
+                )
 
 
 def _features(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -233,6 +251,10 @@ class ReportJob:
             for source in self.sources.values():
                 source.check()
         self.sink.check()
+        sinks = [self.sink]
+        if self.lenient and self.sink.path:
+            sinks.append(Sink(path=f"{self.sink.path}_cast_losses"))
+        _refuse_overwrites([self.base] if self.base else self.sources.values(), sinks)
 
     def build(self, spark: SparkSession) -> DataFrame:
         report = REPORTS[self.report]
@@ -279,8 +301,7 @@ class TransformJob:
     def check(self) -> None:
         self.source.check()
         self.sink.check()
-        if _same_table(self.source, self.sink):
-            raise ValueError("the sink is the source's own table: an overwrite would empty it before it is read")
+        _refuse_overwrites([self.source], [self.sink])
         if not callable(self.transform):
             raise ValueError("the transform must be a function from DataFrame to DataFrame")
 
@@ -298,6 +319,10 @@ class TransformJob:
 class ChartsJob:
     """Write the chart datasets of a stored monthly table, one folder each."""
 
+    DATASETS: ClassVar = (
+        "monthly_trend", "monthly_revenue_histogram", "monthly_demand_histogram", "monthly_revenue_vs_demand",
+    )
+
     monthly: Source
     folder: str
     top_n: int = 10
@@ -310,6 +335,7 @@ class ChartsJob:
             raise ValueError("give an output folder for the chart datasets")
         if self.top_n < 1 or self.bins < 1:
             raise ValueError("top-n and bins start at 1")
+        _refuse_overwrites([self.monthly], (Sink(path=f"{self.folder}/{x}") for x in self.DATASETS))
 
     def run(self, spark: SparkSession) -> dict[str, DataFrame]:
         """The frame is stored first; the other datasets are made from it."""
@@ -390,6 +416,7 @@ class AnalysisJob:
             raise ValueError(f"{self.analysis} is of all products and takes no focus-top")
         self.monthly.check()
         self.sink.check()
+        _refuse_overwrites([self.monthly], [self.sink])
 
     def run(self, spark: SparkSession) -> DataFrame:
         self.check()
@@ -418,6 +445,8 @@ class QualityJob:
             if name not in self.sources:
                 raise ValueError(f"no source for {name}")
             self.sources[name].check()
+        reports = ("integrity", *(f"{name}_{x}" for name in INPUTS for x in ("schema", "nulls")))
+        _refuse_overwrites(self.sources.values(), (Sink(path=f"{self.folder}/{x}") for x in reports))
 
     def run(self, spark: SparkSession) -> dict[str, DataFrame]:
         self.check()
