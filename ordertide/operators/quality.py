@@ -62,13 +62,18 @@ def schema_report(df: DataFrame, expected: StructType) -> DataFrame:
     return _rows(totals, [row(name) for name in (*wanted, *extra)])
 
 
-def cast_losses(df: DataFrame, expected: StructType) -> DataFrame:
-    """How many values of each expected column a lenient cast makes null."""
+def loss_counts(expected: StructType) -> list[Column]:
+    """Aggregates over an input with the expected columns' names: its rows, and the values of each
+    column that a lenient cast makes null."""
     lost = [
         _counted(F.col(f.name).isNotNull() & typed(f.name, f.dataType, lenient=True).isNull(), f"_{i}")
         for i, f in enumerate(expected.fields)
     ]
-    totals = df.agg(F.count("*").alias("_rows"), *lost)
+    return [F.count(F.lit(1)).alias("_rows"), *lost]
+
+
+def loss_rows(totals: DataFrame, expected: StructType) -> DataFrame:
+    """One row per expected column of the single row that :func:`loss_counts` makes."""
     rows = [
         F.struct(
             F.lit(name).alias("column_name"),
@@ -80,6 +85,11 @@ def cast_losses(df: DataFrame, expected: StructType) -> DataFrame:
     return _rows(totals, rows)
 
 
+def cast_losses(df: DataFrame, expected: StructType) -> DataFrame:
+    """How many values of each expected column a lenient cast makes null, by a scan of its own."""
+    return loss_rows(df.agg(*loss_counts(expected)), expected)
+
+
 def null_report(
     df: DataFrame, thresholds: Mapping[str, float] | None = None, default: float = 0.0
 ) -> DataFrame:

@@ -10,7 +10,8 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import ClassVar
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -159,6 +160,8 @@ class Report:
     in_order: Transform = lambda df: df
     keyed: bool = False
     schema: StructType | None = None
+    #: The inputs that the report by these columns reads.
+    reads: Callable[[tuple[str, ...]], tuple[str, ...]] = lambda by: INPUTS
 
 
 def _by_revenue(df: DataFrame) -> DataFrame:
@@ -209,7 +212,10 @@ REPORTS: Mapping[str, Report] = {
     "demand_summary": Report(
         "demand_summary", plans.demand_by, demand.demand_by, in_order=_by_revenue, keyed=True
     ),
-    "service_kpis": Report("service_kpis", _service_kpis, keyed=True),
+    "service_kpis": Report(
+        "service_kpis", _service_kpis, keyed=True,
+        reads=lambda by: ("order_details", "orders") if by == ("product_id",) else ("orders",),
+    ),
     "demand_and_service": Report("demand_and_service", _demand_and_service, keyed=True),
 }
 
@@ -256,36 +262,63 @@ class ReportJob:
             sinks.append(Sink(path=f"{self.sink.path}_cast_losses"))
         _refuse_overwrites([self.base] if self.base else self.sources.values(), sinks)
 
-    def build(self, spark: SparkSession) -> DataFrame:
+    def build(
+        self, spark: SparkSession, losses: Mapping[str, Observation] | None = None
+    ) -> DataFrame:
+        """The report, lazily. With ``losses`` the run that reads an input also counts, in the
+        observation of its name, what lenient casts lose of it."""
         report = REPORTS[self.report]
         if self.base is not None:
             result = report.from_features(self.base.load(spark), *self.by)
         else:
-            raw = [self.sources[name].load(spark) for name in INPUTS]
-            result = report.from_tables(*report.clean(*raw, lenient=self.lenient), *self.by)
+            raw = {name: self.sources[name].load(spark) for name in INPUTS}
+            for name, observation in (losses or {}).items():
+                counted = quality.loss_counts(EXPECTED[name])
+                raw[name] = named_as(raw[name], EXPECTED[name]).observe(observation, *counted)
+            tables = report.clean(*raw.values(), lenient=self.lenient)
+            result = report.from_tables(*tables, *self.by)
         return report.in_order(result) if self.ordered else result
 
     def run(self, spark: SparkSession) -> DataFrame:
         self.check()
-        stored = self.sink.save(self.build(spark))
+        read = REPORTS[self.report].reads(self.by) if self.lenient else ()
+        losses = {name: Observation(f"losses of {name}") for name in read}
+        stored = self.sink.save(self.build(spark, losses))
         show(REPORTS[self.report].in_order(stored), self.preview_rows)
         if self.lenient:
-            self._save_losses(spark)
+            self._save_losses(spark, losses)
         return stored
 
-    def _save_losses(self, spark: SparkSession) -> None:
-        """Store and show how many values of each input column lenient casts made null."""
-        losses = reduce(
-            DataFrame.unionByName,
-            (
-                quality.cast_losses(named_as(self.sources[name].load(spark), EXPECTED[name]), EXPECTED[name])
-                .select(F.lit(name).alias("table_name"), "*")
-                for name in INPUTS
-            ),
-        )
+    def _save_losses(self, spark: SparkSession, losses: Mapping[str, Observation]) -> None:
+        """Store and show how many values of each input column lenient casts made null.
+
+        They were counted while the report was made. An input that the report does not read, or
+        whose rows Spark found it need not read (they would join nothing), is scanned for it.
+        """
+        tables = []
+        for name in INPUTS:
+            counts = _observed(losses[name]) if name in losses else None
+            if counts is None:
+                source = named_as(self.sources[name].load(spark), EXPECTED[name])
+                lost = quality.cast_losses(source, EXPECTED[name])
+            else:
+                schema = ", ".join(f"{column} bigint" for column in counts)
+                totals = spark.createDataFrame([tuple(counts.values())], schema)
+                lost = quality.loss_rows(totals, EXPECTED[name])
+            tables.append(lost.select(F.lit(name).alias("table_name"), "*"))
+        result = reduce(DataFrame.unionByName, tables)
         if self.sink.path:
-            losses = Sink(path=f"{self.sink.path}_cast_losses").save(losses)
-        show(losses.orderBy("table_name", "column_name"), sum(len(x) for x in EXPECTED.values()))
+            result = Sink(path=f"{self.sink.path}_cast_losses").save(result)
+        show(result.orderBy("table_name", "column_name"), sum(len(x) for x in EXPECTED.values()))
+
+
+def _observed(observation: Observation) -> dict[str, int] | None:
+    """What a finished run observed; None if its rows were passed by. Spark then gives an empty row,
+    which has no form in Python."""
+    try:
+        return observation.get
+    except Py4JError:
+        return None
 
 
 @dataclass(frozen=True)

@@ -1,7 +1,10 @@
 import __spark_entry__ as entry
 import pytest
 from conftest import ROOT, SMALL, rows
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 from ordertide import __main__ as cli
+from ordertide.operators import quality
 from ordertide.plans import jobs
 from ordertide.sources import retail
 from ordertide.sources.settings import Connection
@@ -213,6 +216,47 @@ def test_lenient_reports_count_what_they_lose(spark, inputs, tmp_path, capsys):
     assert "lost_values" in capsys.readouterr().out
 
 
+def lossy(spark, inputs, folder):
+    """The inputs with a third of their text spoilt, and what a scan of its own counts."""
+    expected = {}
+    for name in jobs.INPUTS:
+        table = spark.read.parquet(f"{inputs}/{name}.parquet")
+        spoilt = [F.when(F.hash(*table.columns) % 3 == 0, F.lit("x")).otherwise(F.col(c).cast("string")).alias(c) for c in table.columns]
+        table.select(*spoilt).write.parquet(f"{folder}/{name}.parquet")
+        lost = quality.cast_losses(spark.read.parquet(f"{folder}/{name}.parquet"), jobs.EXPECTED[name])
+        expected |= {(name, r.column_name): (r.row_count, r.lost_values) for r in lost.collect()}
+    return jobs.folder_sources(str(folder)), expected
+
+
+@pytest.mark.parametrize(
+    ("report", "by"),
+    [("product_demand_monthly", ()), ("demand_summary", ("customer_id", "category_id")), ("service_kpis", ()), ("service_kpis", ("product_id",))],
+)
+def test_losses_are_counted_while_the_report_is_made(spark, shipped_inputs, tmp_path, report, by):
+    sources, expected = lossy(spark, shipped_inputs, tmp_path / "in")
+    job = jobs.ReportJob(report, sources, jobs.Sink(path=str(tmp_path / "out")), by=by, lenient=True, preview_rows=0)
+    read = jobs.REPORTS[report].reads(by)
+    plan = job.build(spark, {name: Observation(name) for name in read})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len(read)
+    for name in jobs.INPUTS:
+        assert plan.count(f"CollectMetrics {name},") == (1 if name in read else 0)
+    job.run(spark)
+    found = spark.read.parquet(str(tmp_path / "out_cast_losses")).collect()
+    assert {(r.table_name, r.column_name): (r.row_count, r.lost_values) for r in found} == expected
+    assert sum(n for _, n in expected.values()) > 1000
+
+
+def test_losses_of_inputs_that_a_run_passes_by(spark, inputs, tmp_path):
+    sources, expected = lossy(spark, inputs, tmp_path / "in")
+    spark.read.parquet(f"{tmp_path}/in/products.parquet").limit(0).write.parquet(f"{tmp_path}/none")
+    sources |= {"products": jobs.Source(path=f"{tmp_path}/none")}
+    job = jobs.ReportJob("product_demand_summary", sources, jobs.Sink(path=str(tmp_path / "out")), lenient=True, preview_rows=0)
+    assert job.run(spark).count() == 0
+    found = spark.read.parquet(str(tmp_path / "out_cast_losses")).collect()
+    lost = {(r.table_name, r.column_name): (r.row_count, r.lost_values) for r in found}
+    assert lost == {k: (0, 0) if k[0] == "products" else v for k, v in expected.items()}
+
+
 def test_quality_job(spark, inputs, tmp_path, capsys):
     args = parsed("quality", "--config", CONFIG, "--input-folder", inputs,
                   "--output-dir", str(tmp_path / "q"), "--limit", "5")
