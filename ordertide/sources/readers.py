@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import StructType
 
+from ordertide.sources import splitting
 from ordertide.sources.settings import Connection
 
 
 @dataclass(frozen=True)
 class Split:
-    """How to read one JDBC table over several connections: ranges of a numeric,
-    date or timestamp column. Without bounds the database is asked for them."""
+    """How to read one JDBC table over several connections: ranges of a numeric, date or
+    timestamp column.
+
+    Without bounds the database is asked: ranges of a number then hold about equally many
+    rows, by its own counts; ranges of a date are equally long. Bounds given make equal ranges.
+    """
 
     column: str
     partitions: int
@@ -64,10 +69,20 @@ def read_jdbc(
 ) -> DataFrame:
     """Scan a database table, in parallel when given a split."""
     if split is not None and (split.lower is None or split.upper is None):
-        query = scan_options(connection, bounds_query(table, split.column))
-        low, high = spark.read.format("jdbc").options(**query).load().first()
-        empty = low is None
-        split = None if empty else Split(split.column, split.partitions, str(low), str(high))
+
+        def ask(query: str) -> list[Row]:
+            options = scan_options(connection, query)
+            return spark.read.format("jdbc").options(**options).load().collect()
+
+        low, high = ask(bounds_query(table, split.column))[0]
+        if low is None:
+            return read_jdbc(spark, connection, table, None, fetch_size)
+        ranges = splitting.balanced(ask, table, split.column, low, high, split.partitions)
+        if ranges is not None:
+            options = scan_options(connection, table, None, fetch_size)
+            place = {name: options.pop(name) for name in ("url", "dbtable")}
+            return spark.read.jdbc(place["url"], place["dbtable"], predicates=ranges, properties=options)
+        split = Split(split.column, split.partitions, str(low), str(high))
     options = scan_options(connection, table, split, fetch_size)
     return spark.read.format("jdbc").options(**options).load()
 

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from conftest import ROOT, rows
 from pyspark.sql import functions as F
@@ -40,6 +42,9 @@ class Recorder:
     def first(self):
         return self.answer
 
+    def collect(self):
+        return [self.answer]
+
 
 def test_settings_file_has_all_sections_and_tables():
     found = settings.load_settings(ROOT / "configs/base.yaml")
@@ -111,14 +116,14 @@ def test_jdbc_scan_without_split():
 
 
 def test_jdbc_scan_asks_for_bounds_and_splits():
-    spark = Recorder(first=(1, 900))
+    spark = Recorder(first=(dt.date(2020, 1, 1), dt.date(2024, 1, 1)))
     readers.read_jdbc(spark, DB, "public.orders", readers.Split("order_id", 8))
     bounds, scan = spark.calls
     assert bounds["dbtable"] == (
         "(SELECT MIN(order_id) AS low, MAX(order_id) AS high FROM public.orders) bounds"
     )
     assert {k: scan[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
-        "partitionColumn": "order_id", "lowerBound": "1", "upperBound": "900", "numPartitions": "8",
+        "partitionColumn": "order_id", "lowerBound": "2020-01-01", "upperBound": "2024-01-01", "numPartitions": "8",
     }
 
 
