@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import StructType
 
 from ordertide.sources import splitting
+from ordertide.sources.folders import Folder
 from ordertide.sources.settings import Connection
 
 
@@ -107,4 +109,11 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Scan Parquet files. A path that is not there may have been left half-way through a
+    replacement; its old rows are then put back and read."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND" or not Folder(spark, path).recover():
+            raise
+        return spark.read.parquet(path)

@@ -141,21 +141,6 @@ def test_a_database_counts_its_own_rows():
     assert [c["dbtable"] for c in spark.calls] == ["(SELECT COUNT(*) AS row_count FROM public.orders) counted"]
 
 
-def test_jdbc_write_overwrites():
-    df = Recorder()
-    writers.write_jdbc(df, DB, "public.out", connections=4)
-    shuffled, mode, options = df.calls
-    assert (shuffled, mode) == ({"repartition": 4}, {"mode": "overwrite"})
-    assert (options["dbtable"], options["numPartitions"], options["saved"]) == ("public.out", "4", True)
-
-
-def test_jdbc_write_without_a_bound_keeps_the_partitions():
-    df = Recorder()
-    writers.write_jdbc(df, DB, "public.out", connections=None)
-    assert df.calls[0] == {"mode": "overwrite"}
-    assert "numPartitions" not in df.calls[-1]
-
-
 def test_csv_is_text_unless_typed(spark, tmp_path):
     (tmp_path / "a.csv").write_text("order_id,note\n01,x\n2,\n")
     path = str(tmp_path / "a.csv")
