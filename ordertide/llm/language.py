@@ -33,7 +33,7 @@ from . import store, text
 
 #: Distinct training texts of a language at most; the sample is by a hash of the text.
 SAMPLE_ROWS = 300
-#: Bytes of one training text at most; longer ones are left out of the sample.
+#: Bytes of one training text at most; of a longer one a piece is in the sample.
 SAMPLE_BYTES = 20_000
 UNKNOWN = "und"
 ORDER = 3
@@ -43,15 +43,16 @@ _LETTER = regex.compile(r"\p{L}")
 def training_sample(
     docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS, label: str = "lang", text_column: str = "text"
 ) -> DataFrame:
-    """(lang, text): per language the distinct texts of bounded length with the smallest hashes."""
+    """(lang, text): per language the distinct texts with the smallest hashes, of long ones a piece."""
     chosen = docs.where(learn).select(F.col(label).alias("lang"), F.col(text_column).alias("text"))
-    chosen = chosen.where(F.col("lang").isNotNull() & F.octet_length("text").between(1, SAMPLE_BYTES))
+    chosen = chosen.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
     chosen = chosen.withColumn("_h", F.xxhash64("text"))
     # Hashes below a language's share of their range: about four times the rows wanted, however many there are.
     counts = chosen.groupBy("lang").agg(F.approx_count_distinct("_h").alias("_n"))
     share = F.least(F.lit(1.0), F.lit(4.0 * rows) / F.greatest("_n", F.lit(1)))
     # One row per language, as the model has one tree per language.
     few = chosen.join(F.broadcast(counts), "lang").where(F.col("_h").cast("double") <= (2 * share - 1) * float(1 << 63))
+    few = few.withColumn("text", store.piece(F.col("text"), SAMPLE_BYTES))
     distinct = few.groupBy("lang", "_h").agg(F.min("text").alias("text"))
     ranked = Window.partitionBy("lang").orderBy("_h")
     return distinct.withColumn("_n", F.row_number().over(ranked)).where(F.col("_n") <= rows).select("lang", "text")

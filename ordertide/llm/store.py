@@ -10,7 +10,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
@@ -65,3 +66,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def partitions(spark: SparkSession) -> int:
     """How many parts a shuffle has, which the cluster sizes to the data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def piece(text: Column, size: int) -> Column:
+    """A text of at most ``size`` bytes as it is; of a longer one a quarter as many characters, which are
+    no more bytes, from a place that its hash draws."""
+    count = size // 4
+    begin = 1 + F.pmod(F.xxhash64(text), F.greatest(F.length(text) - count, F.lit(0)) + 1)
+    return F.when(F.octet_length(text) <= size, text).otherwise(F.substring(text, begin.cast("int"), F.lit(count)))

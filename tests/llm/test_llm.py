@@ -303,6 +303,81 @@ def test_language(spark):
     assert set(by_id(language.identify(frame(spark, AWKWARD), nothing, columns=("doc_id",)), "lang_pred").values()) == {("und",)}
 
 
+def _plain_score(network, body):
+    """The network spelled out for one text, word by word."""
+    both, _ = toxicity._buckets(np.frombuffer(body.encode(), np.uint8), np.array([0, len(body.encode())]))
+    vector = {int(b): network.vectors[i] for i, b in enumerate(network.known, 1)}
+    words = [vector.get(int(a), network.vectors[0]) + vector.get(int(b), network.vectors[0]) for a, b in both]
+    logit = float(network.bias)
+    for k, width in enumerate(toxicity.WIDTHS):
+        for f in range(toxicity.FILTERS):
+            responses = [
+                sum(float(words[i + j] @ network.filters[k][j][:, f]) for j in range(width)) + float(network.offsets[k][f])
+                for i in range(len(words) - width + 1)
+            ]
+            logit += max(0.0, *responses) * float(network.out[k * toxicity.FILTERS + f]) if responses else 0.0
+    return 1 / (1 + math.exp(-(network.slope * logit + network.shift)))
+
+
+def test_scores_equal_the_network_spelled_out(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    network = toxicity.learn(toxicity.sample(docs, spark.read.parquet(f"{SMALL}/labels.parquet"), F.lit(True)))
+    texts = [(i, t) for i, t in AWKWARD if t != AWKWARD[8][1]] + [(100 + r.doc_id, r.text) for r in docs.limit(20).collect()]
+    found = by_id(toxicity.score(frame(spark, texts), network), "score")
+    for i, body in texts:
+        assert found[i][0] == pytest.approx(_plain_score(network, body or ""), abs=1e-5)
+
+
+def test_long_labelled_texts_teach_by_a_piece(spark):
+    """No short text is toxic, and no short text is of the second language."""
+    long_bad, long_calm = ("vile words here " * 4_000, "calm words there " * 4_000)
+    rows = [(i, f"{long_bad} {i}" if i % 2 else f"{long_calm} {i}") for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "xx" if i % 2 else "yy") for i, t in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, toxic int")
+    taught = toxicity.sample(docs, labels, F.lit(True)).collect()
+    assert len(taught) == 40 and all(0 < len(r.text.encode()) <= toxicity.SAMPLE_BYTES for r in taught)
+    network = toxicity.learn(toxicity.sample(docs, labels, F.lit(True)))
+    found = by_id(toxicity.score(docs, network), "score")
+    assert min(found[i][0] for i in range(1, 40, 2)) > 0.6 > 0.4 > max(found[i][0] for i in range(0, 40, 2))
+    model = language.learn(language.training_sample(docs, F.lit(True)))
+    assert model.languages == ["xx", "yy"]
+    found = by_id(language.identify(docs, model, columns=("doc_id", "lang")), "lang", "lang_pred")
+    assert all(a == b for a, b in found.values())
+
+
+def test_pieces_are_drawn_from_anywhere_and_bounded(spark):
+    texts = spark.createDataFrame([("a" * 10,), ("é" * 5,), ("é" * 6,), ("日本" * 900,), ("x" * 11,), (None,), ("",)], "t string")
+    found = [r[0] for r in texts.select(store.piece(F.col("t"), 10)).collect()]
+    assert found == ["a" * 10, "é" * 5, "éé", found[3], "xx", None, ""] and found[3] in ("日本", "本日")
+    many = spark.range(200).select(F.concat(F.col("id"), F.lit(" " + "".join(chr(0x100 + i) for i in range(1000)))).alias("t"))
+    assert len({r[0] for r in many.select(store.piece(F.col("t"), 100)).collect()}) > 100
+
+
+def test_registered_queries_of_models_fold_and_name_their_columns(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    ids = {r.doc_id: r.text or "" for r in docs.collect()}
+    toxic = queries.op2_toxicity(spark, SMALL).collect()
+    assert {r.doc_id: r.held_out for r in toxic} == {i: brute.fold(i, 3) == 1 for i in ids}
+    assert all(r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1 for r in toxic)
+    tokens = queries.op3_bpe(spark, SMALL).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in tokens} == {i: brute.sha(t) for i, t in ids.items()}
+    scored = queries.op4_lm_scoring(spark, SMALL).collect()
+    expected = brute.base_scores(list(ids.items()))
+    for r in scored:
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == expected[r.doc_id][:4]
+        assert r.base_score == pytest.approx(expected[r.doc_id][4]) and r.score < 0
+    columns = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert by_id(queries.op6_suffix_dedup(spark, SMALL), *columns) == brute.suffixes(list(ids.items()))
+
+
+def test_scoring_no_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    network = toxicity.learn(toxicity.sample(docs, spark.read.parquet(f"{SMALL}/labels.parquet"), F.lit(True), rows=20))
+    assert toxicity.score(docs.limit(0), network).count() == 0
+    model = language.learn(language.training_sample(docs, F.lit(True), rows=5))
+    assert language.identify(docs.limit(0), model, columns=("doc_id",)).count() == 0
+
+
 def test_near(spark, rows, monkeypatch):
     monkeypatch.setattr(near, "OPEN_BLOCK", 2)
     monkeypatch.setattr(near, "MEMBER_BLOCK", 3)
@@ -421,7 +496,9 @@ def test_pipeline(spark, tmp_path):
     with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
         ranks = bpe.read_ranks(file.read().split(b"\n"))
     reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    left = dict(r for r in rows if any(c.isalpha() for c in r[1] or ""))
+    # All texts are labelled "en", long ones teach by a piece.
+    lessons = [r.text.encode() for r in language.training_sample(docs, F.lit(True)).collect()]
+    left = dict(r for r in rows if any(c.isalpha() for c in r[1] or "") and _code_length(lessons, r[1].encode()) < 8 * len(r[1].encode()))
     left = {i: left[i] for i, x in brute.near(list(left.items())).items() if x[2]}
     cut = {}
     first = brute._first([(i, tuple(brute.TOKEN.findall(t))) for i, t in left.items()], 50)
@@ -442,3 +519,17 @@ def test_the_shared_folder(spark):
     assert store.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     stored = store.written(spark.range(3), "numbers")
     assert stored.inputFiles()[0].replace("file://", "").startswith(store.shared_folder(spark))
+
+
+def test_documents_stay_where_no_language_is_known(spark, tmp_path):
+    docs = frame(spark, AWKWARD).withColumn("lang", F.lit(None).cast("string"))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, str(tmp_path)).collect()}
+    assert kept == {i for i, t in AWKWARD if any(c.isalpha() for c in t or "")}
+
+
+def test_documents_that_no_language_codes_go(spark, tmp_path):
+    lessons = [(i, f"plain words of a plain language number {i}") for i in range(50)]
+    docs = frame(spark, [*lessons, (100, "plain words"), (101, "日本語日本語日本語"), (102, "12345 !!")])
+    taught = docs.withColumn("lang", F.when(F.col("doc_id") < 100, "en"))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, taught, str(tmp_path)).collect()}
+    assert kept == {*range(51), 100} - {50}
