@@ -24,12 +24,21 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return docs.toDF(*names.values()), names
 
 
+#: Bits per byte at which a text is no better coded by any known language than its bytes are as they stand.
+PLAIN_BITS = 8.0
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter, and so without a language, go. All labelled rows may teach."""
+    """Documents in no known language go: those without any letter, and those that the best
+    language's contexts code in no fewer than eight bits a byte. All labelled rows may teach;
+    where none does, only documents without letters go."""
     model = language.learn(language.training_sample(docs, F.lit(True)))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     own, names = _numbered(docs)
     found = language.identify(own, model, text_column=names["text"], columns=tuple(own.columns))
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*own.columns).toDF(*docs.columns)
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("bits_per_byte") < PLAIN_BITS)
+    return found.where(known).select(*own.columns).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
