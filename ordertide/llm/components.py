@@ -1,4 +1,8 @@
-"""Connected components of a link table by alternating large and small stars."""
+"""Connected components of a link table by alternating large and small stars.
+
+The smallest neighbours reach their joins by plain shuffles (the rebalance hint), so that Spark
+can split a node with very many links.
+"""
 
 from __future__ import annotations
 
@@ -15,13 +19,13 @@ def _both_ways(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour, or to the node."""
     both = _both_ways(links)
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).hint("rebalance")
     return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of these. Links have a > b."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    least = links.groupBy("a").agg(F.min("b").alias("m")).hint("rebalance")
     others = links.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 

@@ -173,7 +173,7 @@ def _open_links(members: DataFrame, texts: DataFrame, similarity: int) -> DataFr
     blocks = nodes.groupBy("group").agg(
         F.ceil(F.count_if("open") / OPEN_BLOCK).cast("int").alias("_opens"), F.ceil(F.count(F.lit(1)) / MEMBER_BLOCK).cast("int").alias("_all")
     )
-    nodes = nodes.join(blocks, "group")
+    nodes = nodes.join(blocks.hint("rebalance"), "group")
     own = F.pmod(F.xxhash64("node"), F.col("_opens")).cast("int")
     rows = nodes.where("open").select("group", own.alias("i"), F.explode(F.sequence(F.lit(0), F.col("_all") - 1)).alias("j"), F.lit(True).alias("asks"), "node", "label")
     own = F.pmod(F.xxhash64("node"), F.col("_all")).cast("int")
@@ -229,12 +229,15 @@ def components_of(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     nodes = store.written(copies, "nodes")
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    members = banded.join(shared.where(F.col("least") < F.col("most")).select("bucket", "least"), "bucket")
+    # The rebalance hints feed joins by plain shuffles: a side summed by the key would arrive placed by
+    # it, and Spark could then not split a bucket or node that very many rows have.
+    shared = shared.where(F.col("least") < F.col("most")).select("bucket", "least").hint("rebalance")
+    members = banded.join(shared, "bucket")
     members = store.written(members, "members")
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
     texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
     texts = store.written(texts.join(wanted, "doc_id", "left_semi"), "candidates")
-    sketches = nodes.select("node", "sketch").groupBy("node").agg(F.first("sketch").alias("sketch"))
+    sketches = nodes.select("node", "sketch").groupBy("node").agg(F.first("sketch").alias("sketch")).hint("rebalance")
 
     # Round 1: every node with the smallest that any of its buckets has, one pair a node.
     to_least = members.where(F.col("node") != F.col("least"))
