@@ -3,7 +3,9 @@
 Queries are dealt into tiles of bounded size; a tile is broadcast and meets every
 partition of the vectors in blocks by a matrix product. Each block's scores are cut to
 the best of each query by partial selection, together with the best so far, so a
-partition sends k rows per query; a window per query merges the partitions' lists.
+partition sends k rows per query. A tile's lists are written and its broadcast released
+before the next tile is made. The partitions' lists are merged as a tree: a round brings
+FAN_IN of a query's lists together and keeps the best of them.
 
 Components become floor(scale * x) as whole numbers, so scores are exact as long as
 they stay below 2**53, which is checked. Vectors that are null, or hold null or
@@ -17,9 +19,11 @@ candidates of each other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +33,8 @@ from . import store
 TILE = 4096
 #: Vectors of a block; tile and block bound the scores held at once.
 BLOCK = 1024
+#: Lists of a query that a round of merging brings together.
+FAN_IN = 16
 _NONE = -(1 << 62)
 
 
@@ -53,7 +59,7 @@ def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _tile(candidates: DataFrame, queries: list[tuple[int, list[float]]], best: int) -> DataFrame:
-    """Per partition and query of the tile, its ``best`` candidates."""
+    """Per partition (``part``) and query of the tile, its ``best`` candidates, written."""
     lengths = {}
     for vec_id, vector in queries:
         lengths.setdefault(len(vector), []).append((vec_id, vector))
@@ -81,11 +87,34 @@ def _tile(candidates: DataFrame, queries: list[tuple[int, list[float]]], best: i
         for size, (own_ids, _) in shared.value.items():
             rows, places = np.nonzero(lists[size].top > _NONE)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own_ids[rows]), pa.array(lists[size].who[rows, places]), pa.array(lists[size].top[rows, places])],
-                names=["query_id", "vec_id", "score"],
+                [
+                    pa.array(own_ids[rows]), pa.array(lists[size].who[rows, places]), pa.array(lists[size].top[rows, places]),
+                    pa.array(np.full(len(rows), TaskContext.get().partitionId(), np.int64)),
+                ],
+                names=["query_id", "vec_id", "score", "part"],
             )
 
-    return candidates.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    found = store.written(candidates.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint, part bigint"), "tile")
+    shared.unpersist()
+    return found
+
+
+def _kept(lists: DataFrame, best: int, *lists_by: str) -> DataFrame:
+    """The ``best`` of each list after merging, with their rank; an id that repeats counts once, with its best score."""
+    once = Window.partitionBy("query_id", *lists_by, "vec_id").orderBy(F.desc("score"))
+    ranked = Window.partitionBy("query_id", *lists_by).orderBy(F.desc("score"), "vec_id")
+    # Placed by the list, both windows need no further shuffle.
+    placed = lists.repartition("query_id", *lists_by).withColumn("_n", F.row_number().over(once)).where(F.col("_n") == 1)
+    return placed.drop("_n").withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= best)
+
+
+def merged(lists: DataFrame, best: int, parts: int) -> DataFrame:
+    """One list per query of those of ``parts`` partitions, by rounds that merge FAN_IN lists at a time."""
+    while parts > FAN_IN:
+        lists = lists.withColumn("part", F.floor(F.col("part") / FAN_IN))
+        lists = _kept(lists, best, "part").drop("rank")
+        parts = -(-parts // FAN_IN)
+    return _kept(lists, best)
 
 
 class _Lists:
@@ -144,12 +173,10 @@ def top_k(
     tiles = max(1, -(-queries.count() // tile))
     if tiles > 1:
         queries = store.written(queries.withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.lit(tiles))), "queries")
-    found = None
+    lists = []
     for k in range(tiles):
         rows = (queries if tiles == 1 else queries.where(F.col("tile") == k)).select("vec_id", "vector").collect()
-        part = _tile(whole, [(r["vec_id"], r["vector"]) for r in rows], best)
-        found = part if found is None else found.unionByName(part)
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= best)
-    return found.select("query_id", "rank", "vec_id", "score")
+        lists.append(_tile(whole, [(r["vec_id"], r["vector"]) for r in rows], best))
+    found = reduce(DataFrame.unionByName, lists)
+    parts = (found.agg(F.max("part")).first()[0] or 0) + 1
+    return merged(found, best, parts).select("query_id", "rank", "vec_id", "score")
