@@ -34,6 +34,8 @@ from . import store, text
 WINDOW = 10
 #: Benchmark windows are broadcast, in blocks of at most this many items' rows.
 ITEM_BLOCK = 20_000
+#: Bytes of the items' words in a block, eight for each word; windows take about ten times as many.
+BLOCK_BYTES = 1 << 24
 SHARD_BYTES = 1 << 20
 
 INDEX = "shard string, doc_ids array<bigint>, doc_starts binary, terms binary, lists binary, places binary"
@@ -159,13 +161,11 @@ class Windows:
     """Distinct windows of benchmark items, each with the ids that have it."""
 
     def __init__(self, items: list[tuple[str | None, bytes]], window: int):
-        found: dict[bytes, list[str | None]] = {}
+        found: dict[bytes, set[str | None]] = {}
         for item, terms in items:
             terms = np.frombuffer(terms, np.uint64)
             for start in range(max(1, len(terms) - window + 1)):
-                named = found.setdefault(terms[start : start + window].tobytes(), [])
-                if item not in named:
-                    named.append(item)
+                found.setdefault(terms[start : start + window].tobytes(), set()).add(item)
         self.terms = [np.frombuffer(x, np.uint64) for x in found]
         self.items = list(found.values())
         self.flat = np.concatenate([np.zeros(0, np.uint64), *self.terms])
@@ -188,10 +188,12 @@ class Windows:
 
 
 def _blocks(items: DataFrame, window: int, item_block: int) -> Iterator[Broadcast]:
-    """Broadcast windows of at most about ``item_block`` items each; at least one block."""
-    blocks = max(1, -(-items.count() // item_block))
+    """Broadcast windows of about ``item_block`` items and BLOCK_BYTES of their words at most, one
+    block at a time; at least one. Items are dealt by words and id, so equal texts spread too."""
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("terms")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size["n"] // item_block), -(-size["bytes"] // BLOCK_BYTES))
     if blocks > 1:
-        items = store.written(items.withColumn("block", F.pmod(F.xxhash64("terms"), F.lit(blocks))), "items")
+        items = store.written(items.withColumn("block", F.pmod(F.xxhash64("terms", "item"), F.lit(blocks))), "items")
     for k in range(blocks):
         part = items if blocks == 1 else items.where(F.col("block") == k)
         rows = [(r["item"], bytes(r["terms"])) for r in part.select("item", "terms").collect()]
@@ -268,19 +270,25 @@ def matches(
 
     ``within`` asks for proximity instead of phrases: all words of a window at most so
     many words from its rarest one. A benchmark of more than ``item_block`` rows is
-    searched block after block.
+    searched block after block, and so is one of more bytes than a block may have.
     """
-    shared = list(_blocks(_items(benchmark, item_column, "text"), window, item_block))
     index = store.written(build_index(docs), "postings")
     schema = (
         "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string,"
         " contaminated boolean, items array<string>, spans array<bigint>"
     )
-    if len(shared) == 1:
+    blocks = _blocks(_items(benchmark, item_column, "text"), window, item_block)
+    found, shared = [], next(blocks)
+    for following in blocks:
+        # Each block's hits are written before the next block is made, so one is held at a time.
+        found.append(store.written(index.mapInArrow(_search(shared, within), FOUND), "hits"))
+        shared.unpersist()
+        shared = following
+    if not found:
         # Nothing to bring together: search and merge in one Python process of a task.
-        search = _search(shared[0], within)
+        search = _search(shared, within)
         return index.mapInArrow(lambda batches: _merged(search(batches)), schema)
-    found = reduce(DataFrame.unionByName, [index.mapInArrow(_search(block, within), FOUND) for block in shared])
+    found = reduce(DataFrame.unionByName, [*found, index.mapInArrow(_search(shared, within), FOUND)])
     found = found.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),

@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from ordertide.llm import bpe, decontaminate, hosts, keys, language, lm, near, queries, search, store, substrings, suffixes, text, toxicity
+from ordertide.llm import bpe, components, decontaminate, hosts, keys, language, lm, near, queries, search, store, substrings, suffixes, text, toxicity
 from pyspark.sql import functions as F
 
 SMALL = "/root/testdata/sf0.001"
@@ -113,7 +113,7 @@ def test_packed_keys():
     assert (np.diff(keys.shard_bounds(found, 7)) > 0).all()
 
 
-def test_decontamination(spark, rows):
+def test_decontamination(spark, rows, monkeypatch):
     items = [(1, " ".join(rows[0][1].split()[:12])), (2, "one TWO three"), (2, "eight nine"), (3, None), (4, "zzz yyy")]
     items += [(5, made(1)[0][1])]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
@@ -121,6 +121,9 @@ def test_decontamination(spark, rows):
     columns = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert by_id(decontaminate.matches(frame(spark, rows), benchmark), *columns) == expected
     assert by_id(decontaminate.matches(frame(spark, rows), benchmark, item_block=2), *columns) == expected
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 30)
+    assert by_id(decontaminate.matches(frame(spark, rows), benchmark), *columns) == expected
+    monkeypatch.undo()
     docs = frame(spark, rows)
     cleaned = decontaminate.clean(docs, benchmark)
     assert cleaned.columns == docs.columns
@@ -458,6 +461,45 @@ def test_search(spark):
     assert [tuple(r) for r in search.top_k(mixed, F.col("vec_id") % 50 == 0).collect()] == [(0, 1, 2, 256 * 1024)]
 
 
+def test_lists_are_merged_as_a_tree(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(q, rng.randrange(40), rng.randrange(30), part) for q in range(3) for part in range(20) for _ in range(4)]
+    lists = spark.createDataFrame(rows, "query_id bigint, vec_id bigint, score bigint, part bigint")
+    expected = set()
+    for q in range(3):
+        scores = {}
+        for query, vec_id, score, _ in rows:
+            if query == q:
+                scores[vec_id] = max(score, scores.get(vec_id, score))
+        best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:5]
+        expected |= {(q, i, s, rank) for rank, (i, s) in enumerate(best, 1)}
+    for fan_in, rounds in ((64, 1), (5, 2), (2, 5)):
+        monkeypatch.setattr(search, "FAN_IN", fan_in)
+        found = search.merged(lists, 5, 20)
+        assert {(r.query_id, r.vec_id, r.score, r["rank"]) for r in found.collect()} == expected
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression [query_id") == rounds
+
+
+def test_a_node_of_very_many_links_is_split(spark):
+    """A third of the links meet in one node; broadcasts are off, as they are for large tables."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    links = spark.range(0, 60_000, 1, 8).select((F.col("id") + 10).alias("a"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 2000 + 2).alias("b"))
+    for star in (components._large_star(links), near._alike(links, links.select(F.col("b").alias("node")).unionByName(links.select(F.col("a").alias("node"))).groupBy("node").agg(F.array(*(F.lit(0).cast("bigint") for _ in range(8))).alias("sketch")).hint("rebalance"))):
+        star.collect()
+        assert "SortMergeJoin(skew=true)" in star._jdf.queryExecution().executedPlan().toString()
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_empty_tables(spark):
     docs = frame(spark, AWKWARD).limit(0)
     benchmark = spark.createDataFrame([], "item_id bigint, text string")
