@@ -10,8 +10,9 @@ pre-tokens are remembered by each worker, in its later tasks too, up to a fixed
 number of bytes; long ones are not.
 
 Null is an empty text; an empty text has no tokens. Decoding gives the exact
-bytes back. Rows are independent, repeated rows are encoded again, and only the
-named columns are read.
+bytes back. Rows are independent, repeated rows are encoded again, no rows give
+none, and only the named columns are read. A pre-token has one encoding, so there
+are no ties.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ six bytes a word.
 Null or empty texts have no words. An item of fewer words than a window, but
 not none, is one window. Repeated items (same id) count once by id; a null
 item_id takes part in hits but not in the list of ids. Repeated documents
-give repeated rows. Only the named columns are read.
+give repeated rows. No documents give no rows; without items nothing is hit.
+Only the named columns are read. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations

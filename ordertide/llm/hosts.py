@@ -11,7 +11,9 @@ mean - z * deviation of its host's posterior exceeds the threshold.
 The registered domain is the last two labels of a host and the suffix the last one; no
 list of public suffixes is used. An empty host has an empty domain and suffix.
 
-Null urls and urls without ``://`` have an empty host and path. Repeated rows are judged
+Null urls and urls without ``://`` have an empty host and path. No pages give no rows; of
+rules of equal length that fit, the later one counts; a bound equal to the threshold allows.
+Repeated rows are judged
 each, and count as often as they occur. A host that holds most pages is one row of the
 reputation table, summed before the shuffle.
 """

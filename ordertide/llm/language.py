@@ -15,8 +15,9 @@ the training sample, at most ``sample_rows`` texts of a language.
 A text that is null or has no letter is ``und`` with score 0; so is every text
 if nothing was learned. The score is the winner's share of 2**-length among the
 languages. Ties go to the language that comes first by name. Languages are
-learned from rows with non-null text and label, repeated texts once. Only the named
-columns are read.
+learned from rows with non-null text and label, repeated texts once, of long ones a
+piece; all texts are scored whole. No documents give no rows. Only the named columns
+are read.
 """
 
 from __future__ import annotations

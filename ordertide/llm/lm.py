@@ -21,7 +21,8 @@ frequent words (at most ``heavy``) are broadcast with their counts; all other wo
 of a document are joined with the count table by key, where no key is frequent.
 
 Null is an empty text; an empty text has one token, its end. Repeated rows are
-scored, and learned from, as often as they occur. Words are told apart by 64-bit
+scored, and learned from, as often as they occur. No documents give no rows; where
+none teaches, every word is unknown and N is 0. Words are told apart by 64-bit
 hashes. Only the named columns are read.
 """
 

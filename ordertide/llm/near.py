@@ -17,7 +17,9 @@ probability 5e-6, and fails the sketch with less than 1e-6.
 
 Documents without words or text have an empty set and are linked with nothing. Rows of
 the same id are one component. A null id gives n_shingles, a null component and is kept.
-Only the named columns are read.
+Of a component the smallest id is kept, so there are no ties. No documents give no rows.
+Only the named columns are read. Shingles are told apart by 64-bit hashes, word sequences
+by 128 bits.
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ both smaller.
 
 Null is an empty text. Texts shorter than a window have no repeats. Repeated rows and
 rows of equal id never count against each other, and each gives a result row. A null
-id sorts after all others. Only the named columns are read.
+id sorts after all others. No documents give no rows. Only the named columns are read.
+Anchors, contexts and windows are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ non-finite components, take no part, and an empty vector scores 0. A query's own
 (same id) are no candidates. Ties go to the smaller id. Of a query that occurs in
 several rows the smallest vector counts; candidate rows that repeat an id count once
 with their best score. Vectors of different lengths have no product and are no
-candidates of each other.
+candidates of each other. No vectors, or no queries, give no rows.
 """
 
 from __future__ import annotations
