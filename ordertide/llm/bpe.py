@@ -7,7 +7,7 @@ what BPE itself makes of their joint bytes, which is decided once per pair and
 remembered; and where no token fits, the walk goes back and takes the next
 shorter one. Each byte is tried at most once, so the time is linear. Encoded
 pre-tokens are remembered by each worker, in its later tasks too, up to a fixed
-number of bytes; long ones are not.
+number of bytes and until it works on another operator; long ones are not.
 
 Null is an empty text; an empty text has no tokens. Decoding gives the exact
 bytes back. Rows are independent, repeated rows are encoded again, no rows give
@@ -35,7 +35,7 @@ from . import store, text
 
 #: Bytes that each of a worker's two generations of remembered pre-tokens takes at most, and what
 #: an entry takes beside its text and ids. Longer pre-tokens are encoded each time.
-REMEMBERED_BYTES, ENTRY_BYTES, LONGEST = 48 << 20, 160, 64
+REMEMBERED_BYTES, ENTRY_BYTES, LONGEST = 20 << 20, 160, 64
 #: Pairs of tokens of which a worker remembers at most whether they may stand side by side.
 REMEMBERED_PAIRS = 1 << 17
 _NONE = -1
@@ -193,17 +193,13 @@ class Remembered(dict):
         return made
 
 
-#: This worker's memory, by the digest of its vocabulary; one vocabulary at a time.
-_worker: dict[bytes, Remembered] = {}
-
-
 def remembered(raw: bytes) -> Remembered:
-    """What this worker has encoded so far by the ranks in ``raw``."""
-    digest = hashlib.sha256(raw).digest()
-    if digest not in _worker:
-        _worker.clear()
-        _worker[digest] = Remembered(Encoder(read_ranks(raw.split(b"\n"))))
-    return _worker[digest]
+    """What this worker has encoded so far by the ranks in ``raw``; one vocabulary at a time."""
+    digest = hashlib.sha256(raw).hexdigest()
+    if digest not in text.kept:
+        text.kept.clear()
+        text.kept[digest] = Remembered(Encoder(read_ranks(raw.split(b"\n"))))
+    return text.kept[digest]
 
 
 def _vocabulary(spark: SparkSession, path: str) -> Broadcast:

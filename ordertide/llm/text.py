@@ -109,8 +109,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at
 
 
+#: What an operator keeps in this worker for its later tasks. Slicing texts, as all other operators
+#: on texts do, lets it go, so that their memory and this do not add up.
+kept: dict[str, object] = {}
+
+
 def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, row offsets into them) of successive slices."""
+    kept.clear()
     data, at = utf8(column)
     row = 0
     while row < len(at) - 1:

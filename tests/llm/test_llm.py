@@ -9,6 +9,7 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from ordertide.llm import bpe, components, decontaminate, hosts, keys, language, lm, near, queries, search, store, substrings, suffixes, text, toxicity
@@ -157,6 +158,8 @@ def test_remembered_pre_tokens_stay_bounded_in_two_generations():
         raw = file.read()
     known = bpe.remembered(raw)
     assert bpe.remembered(raw) is known
+    list(text.slices(pa.array(["another operator's text"])))
+    assert bpe.remembered(raw) is not known
     encoder, small = known.encoder, bpe.Remembered(known.encoder, most=2_000)
     rng = random.Random(3)
     asked = ["".join(rng.choices("abcdeé 0", k=rng.choice((1, 3, 9, 70)))) for _ in range(300)]
