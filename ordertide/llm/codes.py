@@ -170,7 +170,13 @@ class Encoded:
 
 
 def encode_values(
-    vectors: DataFrame, columns: Sequence[str] = ("vec_id", "label"), id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 4096, entries: int = 16, block: int = BLOCK
+    vectors: DataFrame,
+    columns: Sequence[str] = ("vec_id", "label"),
+    id_column: str = "vec_id",
+    vector_column: str = "embedding",
+    scale: int = 4096,
+    entries: int = 16,
+    block: int = BLOCK,
 ) -> Encoded:
     """The vectors that take part, written as blocks with dictionaries; and the vectors of the smallest ids."""
     spark = vectors.sparkSession

@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from . import keys as k
 from . import repeats, text
 
 LENGTH = 50

@@ -496,9 +496,12 @@ def test_a_node_of_very_many_links_is_split(spark):
     for name, value in settings.items():
         spark.conf.set(name, value)
     links = spark.range(0, 60_000, 1, 8).select((F.col("id") + 10).alias("a"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 2000 + 2).alias("b"))
-    for star in (components._large_star(links), near._alike(links, links.select(F.col("b").alias("node")).unionByName(links.select(F.col("a").alias("node"))).groupBy("node").agg(F.array(*(F.lit(0).cast("bigint") for _ in range(8))).alias("sketch")).hint("rebalance"))):
-        star.collect()
-        assert "SortMergeJoin(skew=true)" in star._jdf.queryExecution().executedPlan().toString()
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node"))
+    same = F.array(*(F.lit(0).cast("bigint") for _ in range(8))).alias("sketch")
+    sketches = nodes.groupBy("node").agg(same).hint("rebalance")
+    for joined in (components._large_star(links), near._alike(links, sketches)):
+        joined.collect()
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
     for name, value in before.items():
         spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
