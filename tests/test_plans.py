@@ -119,3 +119,22 @@ def test_unneeded_supplier_join_disappears(spark):
 def test_row_counts_read_no_columns(spark):
     plan = plan_of(entry.queries()["row_counts"](spark, SMALL))
     assert "FileScan parquet [l_" not in plan
+
+
+@pytest.mark.parametrize("report", ["product_revenue", "product_demand_summary", "product_demand_monthly", "daily_product_demand"])
+def test_totals_are_held_in_one_hash_table(spark, report):
+    """Above the join with the products nothing is grouped once more."""
+    plan = getattr(plans, report)(*tables(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("Join")]
+
+
+def test_product_rows_that_repeat_count_each(spark):
+    lines = spark.createDataFrame([(1, 7, 2.0, 3, 0.5)], "order_id long, product_id long, unit_price double, quantity long, discount double")
+    orders = spark.createDataFrame([(1, "2020-02-03"), (1, "2020-02-03")], "order_id long, order_date string")
+    orders = orders.withColumn("order_date", orders.order_date.cast("date"))
+    rows = [(7, "a", 1), (7, "a", 1), (7, None, 1), (None, "a", 1)]
+    products = spark.createDataFrame(rows, "product_id long, product_name string, category_id long")
+    found = plans.product_demand_monthly(lines, orders, products).collect()
+    assert {tuple(r)[4:] for r in found} == {("a", 1, 12, 12.0, 1), (None, 1, 6, 6.0, 1)}
+    found = plans.product_demand_summary(lines, orders, products).collect()
+    assert {tuple(r)[1:] for r in found} == {("a", 1, 12, 12.0, 1, 2.0), (None, 1, 6, 6.0, 1, 2.0)}
