@@ -24,7 +24,7 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    network = toxicity.learn(toxicity.sample(docs, _table(spark, folder, "labels"), _fold(3) != 1))
+    network = toxicity.learn(toxicity.labelled(docs, _table(spark, folder, "labels"), _fold(3) != 1))
     scored = toxicity.score(docs.withColumn("held_out", _fold(3) == 1), network, columns=("doc_id", "held_out"))
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 

@@ -3,23 +3,26 @@
 A word's vector is the sum of two embeddings, one by the hash of the word and one by the
 hash of its first four bytes, so inflected forms share something. Filters of one, two
 and three words slide over a text; each filter keeps its largest response in the whole
-text (at least 0), and a logistic unit reads these. Embeddings, filters and output are
-trained in numpy by Adam on a bounded sample of labelled texts; the first coordinate
-of an embedding begins as its log odds in the sample. A tenth of the sample sets the
-slope and offset of the scores (Platt), and per language the threshold at which the
-share of wrong decisions is least.
+text (at least 0), and a logistic unit reads these. All labelled texts teach, whole. They are
+dealt into blocks by the hash of their id; in each of EPOCHS rounds a task goes over its blocks
+in numpy by Adam, from the round's network, and what the blocks changed is averaged by Spark,
+a word's vector over the blocks that changed it. The first coordinate of an embedding begins
+as its log odds over all blocks. A tenth of the texts, by hash, teaches no weights: their
+logits, counted in steps of 1/64, set the slope and offset of the scores (Platt), and
+per language the threshold at which the share of wrong decisions is least. Averages are of
+whole numbers, so they do not depend on the order in which tasks end.
 
 Texts that are null or without words have the score of no response at all. Words that
-the sample holds in fewer than five texts have a zero vector. Without both kinds of
+fewer than five of the teaching texts hold have a zero vector. Without both kinds of
 labels all scores are the share of label 1 (0.5 if there is none). Rows of equal
 id share the largest of their labels; repeated texts are scored each, equal texts alike.
-No documents give no rows. Of a long labelled text a piece teaches; all texts are
-scored whole. Only the named columns are read; the label, language, source and id
+No documents give no rows. Only the named columns are read; the label, language, source and id
 never enter a score.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +32,9 @@ from pyspark.sql import functions as F
 
 from . import store, text
 
-#: Training texts of each label at most; the sample is by a hash of the id.
+#: Texts of each label at most that :func:`sample` draws, by a hash of the id.
 SAMPLE_ROWS = 2500
-#: Bytes of one training text at most; of a longer one a piece is in the sample.
+#: Bytes of one text at most in such a sample; of a longer one a piece is in it.
 SAMPLE_BYTES = 20_000
 BUCKETS = 1 << 21
 SIZE = 8
@@ -41,10 +44,33 @@ PREFIX = 4
 SEEN_IN = 5
 EPOCHS = 8
 BATCH = 32
+#: Words of a batch, unless one text alone has more.
+BATCH_WORDS = 200_000
+#: About how many labelled texts are one block, and words at which a block is cut.
+BLOCK_ROWS = 2048
+BLOCK_WORDS = 2_000_000
+#: Steps in which changes of parameters are counted, and logits of the held-out texts.
+UNIT, LOGIT_UNIT = 1 << 20, 64
 RATE = 0.01
 _OTHER = np.uint64(0x94D049BB133111EB)
 
 
+def labelled(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic") -> DataFrame:
+    """(_block, _hash, label, lang, text) of every labelled document, whole, dealt by block;
+    ``learn`` is about ``doc_id``. Of an id in several rows one text counts."""
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    own = learn & F.col("doc_id").isNotNull()
+    marks = labels.where(own & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
+    blocks = max(1, -(-marks.count() // BLOCK_ROWS))
+    texts = docs.where(own).select("doc_id", F.struct("text", lang.alias("lang")).alias("_one"))
+    # One shuffle of the texts serves the join, the choice among rows of one id, and the blocks.
+    both = texts.unionByName(marks, allowMissingColumns=True).withColumn("_hash", F.xxhash64("doc_id"))
+    both = both.withColumn("_block", F.pmod("_hash", F.lit(blocks)).cast("int")).repartition(blocks, "_block")
+    one = both.groupBy("_block", "_hash", "doc_id").agg(F.max("label").alias("label"), F.min("_one").alias("_one"))
+    one = one.where(F.col("label").isNotNull() & F.col("_one").isNotNull())
+    return one.select("_block", "_hash", "label", "_one.lang", "_one.text")
+
+
 def sample(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", rows: int = SAMPLE_ROWS) -> DataFrame:
     """(label, lang, text) of at most ``rows`` documents of each label; ``learn`` is about ``doc_id``.
 
@@ -78,18 +104,55 @@ def _buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def hashed(texts: DataFrame) -> DataFrame:
-    """``texts`` with the words of column text as pairs of buckets."""
+    """``texts`` of (_block, held, label, lang, text) with the words of the last as pairs of buckets."""
     store.ship(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = []
-            for _, _, data, offsets in text.slices(batch.column(2)):
+            for begin, end, data, offsets in text.slices(batch.column(4)):
                 both, rows = _buckets(data, offsets)
-                lists += [both[a:b].astype(np.int32).tobytes() for a, b in zip(rows[:-1], rows[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, pa.binary())], names=["label", "lang", "words"])
-
-    return texts.select("label", "lang", "text").mapInArrow(run, "label int, lang string, words binary")
+                both = both.astype(np.int32)
+                lists = [both[a:b].tobytes() for a, b in zip(rows[:-1], rows[1:], strict=True)]
+                kept = [batch.column(k).slice(begin, end - begin) for k in range(4)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(lists, pa.binary())], names=["_block", "held", "label", "lang", "words"])
+
+    columns = texts.select("_block", "held", "label", "lang", "text")
+    return columns.mapInArrow(run, "_block int, held boolean, label int, lang string, words binary")
+
+
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All rows' pairs of buckets, and the index of each row's first."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
+    return raw.copy().view(np.int32).reshape(-1, 2), (at - at[0]) // 8
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(block, labels, pairs of buckets of all its texts, index of each text's first) from rows of
+    (_block, label, words) that are in order of their blocks; a block of very many words in pieces."""
+    block, held = None, []
+
+    def joined() -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.concatenate([np.diff(rows) for _, _, rows in held])
+        return block, np.concatenate([y for y, _, _ in held]), np.concatenate([w for _, w, _ in held]), np.concatenate([[0], np.cumsum(sizes)])
+
+    for whole in batches:
+        for batch in text.parts(whole, 2, 8 * BLOCK_WORDS):
+            blocks, label = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+            words, rows = _words(batch.column(2))
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if held and (blocks[a] != block or sum(len(w) for _, w, _ in held) + rows[b] - rows[a] > BLOCK_WORDS):
+                    yield joined()
+                    held = []
+                block = int(blocks[a])
+                held.append((label[a:b].astype(np.float64), words[rows[a] : rows[b]], rows[a : b + 1] - rows[a]))
+    if held:
+        yield joined()
 
 
 def _valid(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,6 +184,12 @@ class Network:
         dense[self.known] = np.arange(1, len(self.known) + 1)
         return dense
 
+    def parameters_of(self, used: np.ndarray) -> Network:
+        """The same network with these rows of its vectors."""
+        own = copy.copy(self)
+        own.known, own.vectors = used, self.vectors[used]
+        return own
+
     def pooled(self, x: np.ndarray, rows: np.ndarray, where: bool = False):
         """Largest response of every filter per row, and, if asked, the window that gave it (-1: none above 0)."""
         n = len(rows) - 1
@@ -134,14 +203,12 @@ class Network:
             response = x[windows] @ self.filters[k][0] + self.offsets[k]
             for j in range(1, width):
                 response += x[windows + j] @ self.filters[k][j]
-            if not where:
-                out[filled, columns] = np.maximum(0, np.maximum.reduceat(response, begins, axis=0))
-                continue
-            for row, a, b in zip(filled, begins, [*begins[1:], len(windows)], strict=True):
-                best = response[a:b].argmax(axis=0)
-                top = response[a + best, np.arange(FILTERS)]
-                out[row, columns] = np.maximum(0, top)
-                at[row, columns] = np.where(top > 0, windows[a + best], -1)
+            top = np.maximum.reduceat(response, begins, axis=0)
+            out[filled, columns] = np.maximum(0, top)
+            if where:
+                hit = response == np.repeat(top, np.diff([*begins, len(windows)]), axis=0)
+                first = np.minimum.reduceat(np.where(hit, windows[:, None], len(x)), begins, axis=0)
+                at[filled, columns] = np.where(top > 0, first, -1)
         return (out, at) if where else out
 
     def logits(self, pooled: np.ndarray) -> np.ndarray:
@@ -152,29 +219,25 @@ class Network:
 
 
 class _Adam:
+    """Adam; of a table of vectors only the rows that a batch concerns are touched."""
+
     def __init__(self, parameter: np.ndarray):
-        self.parameter, self.steps = parameter, 0
+        self.parameter = parameter
+        self.steps = np.zeros((len(parameter), *[1] * (parameter.ndim - 1)), np.int64)
         self.first, self.second = np.zeros_like(parameter), np.zeros_like(parameter)
 
-    def step(self, gradient: np.ndarray) -> None:
-        self.steps += 1
-        self.first += 0.1 * (gradient - self.first)
-        self.second += 0.001 * (gradient * gradient - self.second)
-        first, second = self.first / (1 - 0.9**self.steps), self.second / (1 - 0.999**self.steps)
-        self.parameter -= RATE * first / (np.sqrt(second) + 1e-8)
+    def step(self, gradient: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
+        self.steps[rows] += 1
+        steps = self.steps[rows]
+        first = self.first[rows] + 0.1 * (gradient - self.first[rows])
+        second = self.second[rows] + 0.001 * (gradient * gradient - self.second[rows])
+        self.first[rows], self.second[rows] = first, second
+        first, second = first / (1 - 0.9**steps), second / (1 - 0.999**steps)
+        self.parameter[rows] -= (RATE * first / (np.sqrt(second) + 1e-8)).astype(np.float32)
 
 
-def _embeddings(words: list[np.ndarray], label: np.ndarray) -> Network:
+def _embeddings(known: np.ndarray, seen: np.ndarray, positive: np.ndarray, ones: int, zeros: int) -> Network:
     """Buckets that enough texts hold, with their log odds as first coordinate."""
-    owner = np.repeat(np.arange(len(words)), [2 * len(w) for w in words])
-    flat = np.concatenate([w.ravel() for w in words]).astype(np.int64) if len(owner) else np.zeros(0, np.int64)
-    once = np.unique(flat * len(words) + owner)
-    buckets, text_of = once // len(words), once % len(words)
-    known, inverse, seen = np.unique(buckets, return_inverse=True, return_counts=True)
-    positive = np.bincount(inverse, label[text_of], len(known))
-    enough = seen >= SEEN_IN
-    known, seen, positive = known[enough], seen[enough], positive[enough]
-    ones, zeros = label.sum(), len(label) - label.sum()
     odds = np.log((positive + 0.5) / (ones + 1)) - np.log((seen - positive + 0.5) / (zeros + 1))
     vectors = np.random.default_rng(1).normal(0, 0.01, (len(known) + 1, SIZE)).astype(np.float32)
     vectors[0] = 0
@@ -182,96 +245,207 @@ def _embeddings(words: list[np.ndarray], label: np.ndarray) -> Network:
     return Network(known, vectors)
 
 
-def train(rows: list[tuple[int, str | None, bytes]]) -> Network:
-    """A network from (label, language, words as buckets) of a bounded sample."""
-    words = [np.frombuffer(w, np.int32).reshape(-1, 2) for _, _, w in rows]
-    label = np.array([y for y, _, _ in rows], np.float64)
-    network = _embeddings(words, label) if rows else Network(np.zeros(0, np.int64), np.zeros((1, SIZE), np.float32))
-    if len(set(label.tolist())) < 2:
-        network.out[:] = 0
-        network.bias = np.float32(0)
-        share = (label.sum() + 0.5) / (len(label) + 1)
-        network.shift = float(np.log(share / (1 - share)))
-        return network
-    index = network.index()
-    inputs = [index[w] for w in words]
-    rng = np.random.default_rng(3)
-    order = rng.permutation(len(rows))
-    held, used = order[: len(rows) // 10], order[len(rows) // 10 :]
+def _gradients(network: Network, own: np.ndarray, rows: np.ndarray, label: np.ndarray) -> tuple:
+    """Of a batch: the rows of the vectors that it concerns, and the gradients of them, of the filters,
+    the offsets, the output and the bias."""
+    x = network.vectors[own].sum(axis=1)
+    pooled, at = network.pooled(x, rows, where=True)
+    error = ((1 / (1 + np.exp(-np.clip(network.logits(pooled), -60, 60))) - label) / len(label)).astype(np.float32)
+    passed = np.where(at >= 0, error[:, None] * network.out, np.float32(0))
+    filters, offsets, touched, back = [], [], [], []
+    for k, width in enumerate(WIDTHS):
+        columns = slice(k * FILTERS, (k + 1) * FILTERS)
+        g, place = passed[:, columns], np.maximum(at[:, columns], 0)
+        offsets.append(g.sum(axis=0))
+        active = at[:, columns] >= 0
+        found = np.zeros_like(network.filters[k])
+        for j in range(width):
+            # Texts without a window of this width have no active place.
+            there = np.where(active, place + j, 0)
+            if len(x):
+                found[j] = np.einsum("rf,rfs->sf", g, x[there])
+                touched.append(own[there[active]].ravel())
+                back.append(np.repeat((g[:, :, None] * network.filters[k][j].T[None])[active], 2, axis=0))
+        filters.append(found)
+    if not touched:
+        return np.zeros(0, np.int64), np.zeros((0, SIZE), np.float32), filters, offsets, pooled.T @ error, error.sum()
+    concerned, inverse = np.unique(np.concatenate(touched), return_inverse=True)
+    vectors = np.zeros((len(concerned), SIZE), np.float32)
+    np.add.at(vectors, inverse, np.concatenate(back))
+    if len(concerned) and concerned[0] == 0:
+        concerned, vectors = concerned[1:], vectors[1:]
+    return concerned, vectors, filters, offsets, pooled.T @ error, error.sum()
+
+
+def _batches(order: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """The texts in their order, so many at once as make a batch."""
+    begin, total = 0, 0
+    for i, d in enumerate(order):
+        if i > begin and (i - begin == BATCH or total + sizes[d] > BATCH_WORDS):
+            yield order[begin:i]
+            begin, total = i, 0
+        total += sizes[d]
+    if begin < len(order):
+        yield order[begin:]
+
+
+def train(network: Network, label: np.ndarray, inputs: np.ndarray, rows: np.ndarray, seed: tuple[int, ...]) -> int:
+    """One pass over a block by Adam, in place; the number of batches."""
     parameters = [network.vectors, *network.filters, *network.offsets, network.out]
-    optimizers = [_Adam(x) for x in parameters]
-    bias = np.array([network.bias])
-    bias_optimizer = _Adam(bias)
-    for _ in range(EPOCHS):
-        used = rng.permutation(used)
-        for i in range(0, len(used), BATCH):
-            batch = used[i : i + BATCH]
-            own = np.concatenate([inputs[d] for d in batch])
-            at_rows = np.concatenate([[0], np.cumsum([len(inputs[d]) for d in batch])])
-            x = network.vectors[own].sum(axis=1)
-            network.bias = bias[0]
-            pooled, at = network.pooled(x, at_rows, where=True)
-            error = ((1 / (1 + np.exp(-np.clip(network.logits(pooled), -60, 60))) - label[batch]) / len(batch)).astype(np.float32)
-            passed = error[:, None] * network.out
-            gradients = [np.zeros_like(p) for p in parameters]
-            gradients[-1] += pooled.T @ error
-            for k, width in enumerate(WIDTHS):
-                for f in range(FILTERS):
-                    column = k * FILTERS + f
-                    active = np.flatnonzero(at[:, column] >= 0)
-                    if not len(active):
-                        continue
-                    g, place = passed[active, column], at[active, column]
-                    gradients[1 + len(WIDTHS) + k][f] += g.sum()
-                    for j in range(width):
-                        gradients[1 + k][j, :, f] += g @ x[place + j]
-                        back = g[:, None] * network.filters[k][j, :, f]
-                        for side in (0, 1):
-                            np.add.at(gradients[0], own[place + j, side], back)
-            for optimizer, gradient in zip(optimizers, gradients, strict=True):
-                optimizer.step(gradient)
-            network.vectors[0] = 0
-            bias_optimizer.step(np.array([error.sum()], np.float32))
-    network.bias = bias[0]
-    _calibrate(network, [inputs[d] for d in held], label[held], [rows[d][1] for d in held])
-    return network
+    adam = [_Adam(p) for p in parameters]
+    bias = np.array([network.bias], np.float32)
+    adam_bias = _Adam(bias)
+    n = 0
+    for batch in _batches(np.random.default_rng(seed).permutation(len(label)), np.diff(rows)):
+        own = np.concatenate([inputs[rows[d] : rows[d + 1]] for d in batch])
+        at = np.concatenate([[0], np.cumsum([rows[d + 1] - rows[d] for d in batch])])
+        concerned, vectors, filters, offsets, out, error = _gradients(network, own, at, label[batch])
+        adam[0].step(vectors, concerned)
+        for optimizer, gradient in zip(adam[1:], [*filters, *offsets, out], strict=True):
+            optimizer.step(gradient)
+        adam_bias.step(np.array([error], np.float32))
+        network.bias = bias[0]
+        n += 1
+    return n
+
+
+def _dense(network: Network) -> np.ndarray:
+    """All parameters but the vectors, in rows as long as a vector."""
+    flat = np.concatenate([*(x.ravel() for x in (*network.filters, *network.offsets, network.out)), [network.bias]])
+    return np.concatenate([flat, np.zeros(-len(flat) % SIZE)]).reshape(-1, SIZE)
+
+
+def _counts(stored: DataFrame) -> DataFrame:
+    """(bucket, seen, positive) over the teaching texts: how many hold it, and how many of those are of label 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, label, words, rows in _blocks(batches):
+            owner = np.repeat(np.arange(len(label)), 2 * np.diff(rows))
+            once = np.unique(words.ravel().astype(np.int64) * len(label) + owner)
+            known, inverse, seen = np.unique(once // len(label), return_inverse=True, return_counts=True)
+            positive = np.bincount(inverse, label[once % len(label)], len(known)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (known, seen.astype(np.int64), positive)], names=["bucket", "seen", "positive"])
 
+    found = stored.select("_block", "label", "words").mapInArrow(run, "bucket bigint, seen bigint, positive bigint")
+    found = found.groupBy("bucket").agg(F.sum("seen").alias("seen"), F.sum("positive").alias("positive"))
+    return found.where(F.col("seen") >= SEEN_IN)
 
-def _calibrate(network: Network, inputs: list[np.ndarray], label: np.ndarray, langs: list) -> None:
-    """Slope and offset by a few Newton steps on the held-out part; thresholds by language."""
+
+def _round(stored: DataFrame, network: Network, number: int) -> None:
+    """One pass over all blocks, each from this network; then the network with their average."""
+    shared = stored.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = shared.value
+        index = whole.index()
+        for block, label, words, rows in _blocks(batches):
+            # The block's own vectors, after that of all other words.
+            used, inputs = np.unique(np.concatenate([[0], index[words].ravel()]), return_inverse=True)
+            own = copy.deepcopy(whole.parameters_of(used))
+            before, dense = own.vectors.copy(), _dense(own)
+            steps = train(own, label, inputs[1:].reshape(-1, 2), rows, (3, number, block))
+            changed = np.flatnonzero((own.vectors != before).any(axis=1))
+            changes = np.concatenate([own.vectors[changed] - before[changed], _dense(own) - dense])
+            keys = np.concatenate([used[changed], -1 - np.arange(len(dense))])
+            counted = np.rint(changes * (float(UNIT) * steps)).astype(np.int64)
+            columns = [keys.astype(np.int64), np.full(len(keys), steps, np.int64), *counted.T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names=names)
+
+    sums = ["steps", *(f"d{i}" for i in range(SIZE))]
+    names = ["key", *sums]
+    found = stored.select("_block", "label", "words").mapInArrow(run, ", ".join(f"{x} bigint" for x in names))
+    # At most one row per bucket, whatever the corpus.
+    table = found.groupBy("key").agg(*(F.sum(x).alias(x) for x in sums)).toArrow()
+    key, steps, *changes = (table.column(x).to_numpy() for x in names)
+    mean = np.stack(changes, axis=1) / (float(UNIT) * steps[:, None])
+    network.vectors[key[key > 0]] += mean[key > 0].astype(np.float32)
+    dense = _dense(network)
+    dense[-1 - key[key < 0]] += mean[key < 0]
+    at = 0
+    for parameter in (*network.filters, *network.offsets, network.out):
+        parameter[...] = dense.ravel()[at : at + parameter.size].reshape(parameter.shape)
+        at += parameter.size
+    network.bias = np.float32(dense.ravel()[at])
+    shared.destroy()
+
+
+def _held_logits(stored: DataFrame, network: Network) -> DataFrame:
+    """(lang, label, z, n): how many held-out texts have a logit, in steps."""
+    shared = stored.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        index = own.index()
+        for whole in batches:
+            for batch in text.parts(whole, 2):
+                words, rows = _words(batch.column(2))
+                logits = own.logits(own.pooled(own.vectors[index[words]].sum(axis=1), rows))
+                z = np.rint(np.clip(logits, -60, 60) * LOGIT_UNIT).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(z)], names=["lang", "label", "z"])
+
+    found = stored.select("lang", "label", "words").mapInArrow(run, "lang string, label int, z bigint")
+    return found.groupBy("lang", "label", "z").agg(F.count("*").alias("n"))
+
+
+def _calibrate(network: Network, found: list[tuple[str | None, int, int, int]]) -> None:
+    """Slope and offset by a few Newton steps on the held-out texts; thresholds by language."""
+    label, z, n = (np.array([r[k] for r in found], np.float64) for k in (1, 2, 3))
     if len(set(label.tolist())) < 2:
         return
-    at_rows = np.concatenate([[0], np.cumsum([len(x) for x in inputs])])
-    pooled = network.pooled(network.vectors[np.concatenate(inputs)].sum(axis=1), at_rows)
-    z = network.logits(pooled)
+    z /= LOGIT_UNIT
     # Targets short of 0 and 1, after Platt.
-    ones = label.sum()
-    target = np.where(label == 1, (ones + 1) / (ones + 2), 1 / (len(label) - ones + 2))
+    ones, total = n[label == 1].sum(), n.sum()
+    target = np.where(label == 1, (ones + 1) / (ones + 2), 1 / (total - ones + 2))
     design = np.stack([z, np.ones_like(z)], axis=1)
     # A prior of slope 1 and offset 0 keeps the scores finite where the held-out part is told apart without error.
     start = np.array([1.0, 0.0])
     weights = start.copy()
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(design @ weights, -60, 60)))
-        gradient = design.T @ (p - target) + 10 * (weights - start)
-        curve = (design * (p * (1 - p))[:, None]).T @ design + 10 * np.eye(2)
+        gradient = design.T @ (n * (p - target)) + 10 * (weights - start)
+        curve = (design * (n * p * (1 - p))[:, None]).T @ design + 10 * np.eye(2)
         weights = weights - np.clip(np.linalg.solve(curve, gradient), -0.5, 0.5)
     if np.isfinite(weights).all() and weights[0] > 0:
         network.slope, network.shift = float(weights[0]), float(weights[1])
-    scores = network.scores(pooled)
+    scores = 1 / (1 + np.exp(-np.clip(network.slope * z + network.shift, -60, 60)))
+    langs = [r[0] for r in found]
     for lang in {*langs, None}:
         own = np.array([lang is None or x == lang for x in langs])
-        s, y = scores[own], label[own]
-        cuts = np.unique(np.concatenate([[0.5], (np.sort(s)[1:] + np.sort(s)[:-1]) / 2]))
-        wrong = [((s >= c) != (y == 1)).sum() + abs(c - 0.5) / 10 for c in cuts]
+        order = np.argsort(scores[own], kind="stable")
+        s, y, m = scores[own][order], label[own][order], n[own][order]
+        cuts = np.unique(np.concatenate([[0.5], (s[1:] + s[:-1]) / 2]))
+        below = np.searchsorted(s, cuts, "left")
+        missed, kept = (np.concatenate([[0], np.cumsum(m * (y == k))]) for k in (1, 0))
+        wrong = missed[below] + kept[-1] - kept[below] + np.abs(cuts - 0.5) / 10
         network.thresholds[lang] = float(cuts[int(np.argmin(wrong))])
 
 
 def learn(texts: DataFrame) -> Network:
-    """The network of a bounded sample (see :func:`sample`)."""
-    rows = hashed(texts).collect()
-    made = sorted((r["label"], r["lang"] or "", bytes(r["words"])) for r in rows)
-    return train([(y, lang or None, w) for y, lang, w in made])
+    """The network of all given texts (see :func:`labelled`); those without a block are one block."""
+    if "_block" not in texts.columns:
+        texts = texts.withColumns({"_block": F.lit(0), "_hash": F.xxhash64("text")}).repartition(1)
+        texts = texts.sortWithinPartitions("_hash", "label", "lang")
+    held = F.pmod(F.shiftright("_hash", 33), F.lit(10)) == 0
+    stored = store.written(hashed(texts.withColumn("held", held)), "toxicity")
+    used = stored.where(~F.col("held"))
+    totals = {r["label"]: r["n"] for r in stored.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(totals) < 2:
+        network = Network(np.zeros(0, np.int64), np.zeros((1, SIZE), np.float32))
+        network.out[:] = 0
+        network.bias = np.float32(0)
+        share = (totals.get(1, 0) + 0.5) / (sum(totals.values()) + 1)
+        network.shift = float(np.log(share / (1 - share)))
+        return network
+    # At most one row per bucket, whatever the corpus.
+    counts = _counts(used).toArrow().sort_by("bucket")
+    known, seen, positive = (counts.column(x).to_numpy() for x in ("bucket", "seen", "positive"))
+    teaching = {r["label"]: r["n"] for r in used.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    network = _embeddings(known, seen, positive, teaching.get(1, 0), teaching.get(0, 0))
+    for number in range(EPOCHS):
+        _round(used, network, number)
+    found = _held_logits(stored.where("held"), network).collect()
+    _calibrate(network, sorted((tuple(r) for r in found), key=lambda r: (r[0] or "", *r[1:])))
+    return network
 
 
 def score(docs: DataFrame, network: Network, text_column: str = "text", columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -351,6 +351,27 @@ def test_long_labelled_texts_teach_by_a_piece(spark):
     assert all(a == b for a, b in found.values())
 
 
+def test_every_labelled_text_teaches_whole(spark, monkeypatch):
+    """A word that only texts beyond any sample and the end of long texts hold is learned."""
+    monkeypatch.setattr(toxicity, "BLOCK_ROWS", 50)
+    rows = [(i, "calm word here " * (9_000 if i % 40 == 0 else 3) + ("vile" if i % 4 == 0 else "mild"), None) for i in range(400)]
+    docs = spark.createDataFrame([*rows, (0, None, "xx"), (None, "calm", None)], "doc_id bigint, text string, lang string")
+    own = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _, _ in rows] + [(7, None), (None, 1), (999, 1)], "doc_id bigint, toxic int")
+    taught = toxicity.labelled(docs, own, F.col("doc_id") >= 0)
+    found = {(r._hash, r.label, r.text) for r in taught.collect()}
+    assert len(found) == taught.count() == 400 and sum(r[1] for r in found) == 100
+    # Of an id in two rows one text counts, whole, null first.
+    assert {r[2] for r in found} == {t for i, t, _ in rows if i} | {None}
+    network = toxicity.learn(taught)
+    every = network.known.tolist()
+    both, _ = toxicity._buckets(np.frombuffer(b"vile", np.uint8), np.array([0, 4]))
+    assert int(both[0, 0]) in every
+    scores = by_id(toxicity.score(docs.where("doc_id > 0"), network), "score")
+    assert min(scores[i][0] for i in range(4, 400, 4)) > max(scores[i][0] for i in range(1, 400) if i % 4)
+    again = toxicity.learn(taught)
+    assert (again.vectors == network.vectors).all() and again.slope == network.slope and again.bias == network.bias
+
+
 def test_pieces_are_drawn_from_anywhere_and_bounded(spark):
     texts = spark.createDataFrame([("a" * 10,), ("é" * 5,), ("é" * 6,), ("日本" * 900,), ("x" * 11,), (None,), ("",)], "t string")
     found = [r[0] for r in texts.select(store.piece(F.col("t"), 10)).collect()]
