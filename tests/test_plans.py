@@ -138,3 +138,15 @@ def test_product_rows_that_repeat_count_each(spark):
     assert {tuple(r)[4:] for r in found} == {("a", 1, 12, 12.0, 1), (None, 1, 6, 6.0, 1)}
     found = plans.product_demand_summary(lines, orders, products).collect()
     assert {tuple(r)[1:] for r in found} == {("a", 1, 12, 12.0, 1, 2.0), (None, 1, 6, 6.0, 1, 2.0)}
+
+
+def test_monthly_orders_of_a_category_are_counted_without_a_table_of_orders(spark):
+    monthly = plans.monthly_demand_by_product_attribute(*tables(spark), "category_id")
+    assert "distinct" not in monthly._jdf.queryExecution().optimizedPlan().toString()
+    lines = [(1, 7, 2.0, 3, 0.5), (1, 8, 1.0, 1, 0.0), (2, 7, 1.0, 5, 0.0)]
+    lines = spark.createDataFrame(lines, "order_id long, product_id long, unit_price double, quantity long, discount double")
+    orders = [(1, "2020-02-03"), (1, "2020-02-04"), (1, "2020-03-01"), (2, None), (None, "2020-02-03")]
+    orders = spark.createDataFrame(orders, "order_id long, order_date string").selectExpr("order_id", "date(order_date) order_date")
+    products = spark.createDataFrame([(7, "a", 1), (7, "b", 1), (8, "c", 1)], "product_id long, product_name string, category_id long")
+    found = plans.monthly_demand_by_product_attribute(lines, orders, products, "category_id").collect()
+    assert {tuple(r)[2:] for r in found} == {("2020-02", 1, 14, 14.0, 1), ("2020-03", 1, 7, 7.0, 1), (None, 1, 10, 10.0, 1)}
