@@ -48,7 +48,7 @@ BATCH = 32
 BATCH_WORDS = 200_000
 #: About how many labelled texts are one block, and words at which a block is cut.
 BLOCK_ROWS = 2048
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 400_000
 #: Steps in which changes of parameters are counted, and logits of the held-out texts.
 UNIT, LOGIT_UNIT = 1 << 20, 64
 RATE = 0.01
