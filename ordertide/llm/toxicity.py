@@ -62,7 +62,9 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "to
     own = learn & F.col("doc_id").isNotNull()
     marks = labels.where(own & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
     blocks = max(1, -(-marks.count() // BLOCK_ROWS))
-    texts = docs.where(own).select("doc_id", F.struct("text", lang.alias("lang")).alias("_one"))
+    # Texts without a label stay out of the shuffle.
+    texts = docs.where(own).join(marks.select("doc_id"), "doc_id", "left_semi")
+    texts = texts.select("doc_id", F.struct("text", lang.alias("lang")).alias("_one"))
     # One shuffle of the texts serves the join, the choice among rows of one id, and the blocks.
     both = texts.unionByName(marks, allowMissingColumns=True).withColumn("_hash", F.xxhash64("doc_id"))
     both = both.withColumn("_block", F.pmod("_hash", F.lit(blocks)).cast("int")).repartition(blocks, "_block")
