@@ -150,3 +150,15 @@ def test_monthly_orders_of_a_category_are_counted_without_a_table_of_orders(spar
     products = spark.createDataFrame([(7, "a", 1), (7, "b", 1), (8, "c", 1)], "product_id long, product_name string, category_id long")
     found = plans.monthly_demand_by_product_attribute(lines, orders, products, "category_id").collect()
     assert {tuple(r)[2:] for r in found} == {("2020-02", 1, 14, 14.0, 1), ("2020-03", 1, 7, 7.0, 1), (None, 1, 10, 10.0, 1)}
+
+
+@pytest.mark.parametrize("report", ["product_demand_monthly", "daily_product_demand", "product_revenue"])
+def test_a_task_of_the_totals_reads_little_unless_the_session_says_otherwise(spark, report):
+    read, shuffled = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    fresh = spark.newSession()
+    getattr(plans, report)(*tables(fresh))
+    assert (fresh.conf.get(read), fresh.conf.get(shuffled)) == ("16MB", "16MB")
+    own = spark.newSession()
+    own.conf.set(shuffled, "64MB")
+    getattr(plans, report)(*tables(own))
+    assert (own.conf.get(read), own.conf.get(shuffled)) == ("16MB", "64MB")
