@@ -240,6 +240,8 @@ def decode(encoded: DataFrame, vocabulary: str = "", columns: tuple[str, ...] =
     fields = ", ".join(f"`{name}` {kind}" for name, kind in encoded.select(*columns).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Workers change places: one that has encoded before would hold that and the tokens too.
+        text.kept.clear()
         tokens = {rank: token for token, rank in read_ranks(shared.value.split(b"\n")).items()}
         for batch in (part for whole in batches for part in text.parts(whole, 0)):
             made = [decoded(tokens, np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(0).to_pylist()]

@@ -110,7 +110,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: What an operator keeps in this worker for its later tasks. Slicing texts, as all other operators
-#: on texts do, lets it go, so that their memory and this do not add up.
+#: on texts do, lets it go, and so does decoding, so that their memory and this do not add up.
 kept: dict[str, object] = {}
 
 

@@ -138,6 +138,18 @@ def test_proximity(spark):
     assert found == {0: (True,), 1: (True,), 2: (False,), 3: (False,)}
 
 
+def test_decoding_lets_go_of_what_the_worker_encoded(spark, monkeypatch):
+    encoded = spark.createDataFrame([(1, 1, b"")], "doc_id long, n_tokens long, ids binary")
+    tasks = []
+    monkeypatch.setattr(type(encoded), "mapInArrow", lambda df, run, schema: tasks.append(run) or df)
+    bpe.decode(encoded)
+    monkeypatch.setitem(text.kept, "encoder", object())
+    batch = pa.table({"_ids": [b"", None], "doc_id": [1, 2], "n_tokens": [0, 0], "ids": [b"", None]}).to_batches()[0]
+    made = list(tasks[0](iter([batch])))
+    assert [x for out in made for x in out.column("decoded").to_pylist()] == [b"", b""]
+    assert "encoder" not in text.kept
+
+
 def test_bpe_equals_tiktoken(spark, rows):
     with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
         ranks = bpe.read_ranks(file.read().split(b"\n"))
