@@ -243,7 +243,7 @@ def _contexts(spec: Spec, shards: int):
                     size[source].astype(np.uint32).tobytes(), pa.compress(content.tobytes(), codec="zstd", asbytes=True),
                 )
             )
-        pa.default_memory_pool().release_unused()
+        text.release()
         return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema, strict=True)], names=names)
 
     return run, "shard int, block int, to binary, anchor binary, least binary, n binary, size binary, text binary"
@@ -329,7 +329,7 @@ def _resolved(spec: Spec, resolver: Resolver):
                 values = (block, distinct[run_owner[run]], split, run_first[run].astype(np.uint32), run_end[run].astype(np.uint32), run_id[run])
                 for column, value in zip(out, values, strict=True):
                     column.append(value if isinstance(value, int) else value.tobytes())
-        pa.default_memory_pool().release_unused()
+        text.release()
         return pa.table({"block": pa.array(out[0], pa.int32())} | {x: _bytes(v) for x, v in zip(("hash", "anchor", "first", "end", "id"), out[1:], strict=True)})
 
     return run, "block int, hash binary, anchor binary, first binary, end binary, id binary"
@@ -374,7 +374,7 @@ def _marked(spec: Spec, columns: tuple[str, ...], finish: Finish, schema: pa.Sch
                 cover = text.covered(len(cover), begin + first[at], begin + end[at] - 1 + spec.length)
             kept = {name: table.column(name).slice(first_row, last_row - first_row).combine_chunks() for name in columns}
             made.append(pa.table(kept | finish(units, cover)))
-        pa.default_memory_pool().release_unused()
+        text.release()
         return pa.concat_tables(made).cast(schema)
 
     return run

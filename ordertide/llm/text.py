@@ -12,6 +12,7 @@ Longer ones are hashed by xxHash, which is not linear.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -114,6 +115,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 kept: dict[str, object] = {}
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give back what is free in this worker. Workers live on between tasks, more of them than run
+    at a time, and each would keep the most that it ever held."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, row offsets into them) of successive slices."""
     kept.clear()
@@ -123,6 +135,8 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int
         end = max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1)
         yield row, end, data[at[row] : at[end]], at[row : end + 1] - at[row]
         row = end
+    del data, at
+    release()
 
 
 def parts(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -134,6 +148,7 @@ def parts(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterat
         end = max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1)
         yield batch.slice(row, end - row)
         row = end
+    release()
 
 
 @dataclass(frozen=True)

@@ -614,3 +614,14 @@ def test_documents_that_no_language_codes_go(spark, tmp_path):
     taught = docs.withColumn("lang", F.when(F.col("doc_id") < 100, "en"))
     kept = {r.doc_id for r in corpus_pipeline.language_id(spark, taught, str(tmp_path)).collect()}
     assert kept == {*range(51), 100} - {50}
+
+
+def test_workers_give_back_what_a_batch_took(monkeypatch):
+    calls = []
+    monkeypatch.setattr(text, "release", lambda: calls.append(1))
+    column = pa.array(["one two", None, "three"])
+    assert [(a, b) for a, b, _, _ in text.slices(column)] == [(0, 3)]
+    assert len(calls) == 1
+    batch = pa.RecordBatch.from_arrays([column], names=["text"])
+    assert sum(part.num_rows for part in text.parts(batch, 0)) == 3
+    assert len(calls) == 2
