@@ -49,22 +49,39 @@ BATCH_WORDS = 200_000
 #: About how many labelled texts are one block, and words at which a block is cut.
 BLOCK_ROWS = 2048
 BLOCK_WORDS = 400_000
+#: Bits per labelled id of the table that tells which texts may have a label, and bits of one row of it.
+ID_BITS, ROW_BITS = 16, 1 << 15
 #: Steps in which changes of parameters are counted, and logits of the held-out texts.
 UNIT, LOGIT_UNIT = 1 << 20, 64
 RATE = 0.01
 _OTHER = np.uint64(0x94D049BB133111EB)
 
 
+def _maybe_among(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """The rows of ``docs`` whose id is one of the ``n`` of ``ids``, and about a sixteenth of the others.
+
+    A join of ids would send all texts through a shuffle once they are too many to broadcast. A table of
+    bits by the hash of an id, two bytes for each labelled one, stays small enough at any size; ids compare as text.
+    """
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(ID_BITS * max(1, n)))
+    row, bit = F.floor(place / ROW_BITS).alias("_row"), (place % ROW_BITS).alias("_bit")
+    table = ids.select(row, bit).groupBy("_row").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    found = docs.select("*", row, bit).join(F.broadcast(table), "_row")
+    return found.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 as int))")) != 0).select(*docs.columns)
+
+
 def labelled(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic") -> DataFrame:
     """(_block, _hash, label, lang, text) of every labelled document, whole, dealt by block;
     ``learn`` is about ``doc_id``. Of an id in several rows one text counts."""
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     own = learn & F.col("doc_id").isNotNull()
     marks = labels.where(own & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
-    blocks = max(1, -(-marks.count() // BLOCK_ROWS))
-    # Texts without a label stay out of the shuffle.
-    texts = docs.where(own).join(marks.select("doc_id"), "doc_id", "left_semi")
-    texts = texts.select("doc_id", F.struct("text", lang.alias("lang")).alias("_one"))
+    n = marks.count()
+    blocks = max(1, -(-n // BLOCK_ROWS))
+    # Most texts without a label stay out of the shuffle; the others are left out after it.
+    texts = docs.where(own).select("doc_id", F.struct("text", lang.alias("lang")).alias("_one"))
+    texts = _maybe_among(texts, marks, n)
     # One shuffle of the texts serves the join, the choice among rows of one id, and the blocks.
     both = texts.unionByName(marks, allowMissingColumns=True).withColumn("_hash", F.xxhash64("doc_id"))
     both = both.withColumn("_block", F.pmod("_hash", F.lit(blocks)).cast("int")).repartition(blocks, "_block")

@@ -384,6 +384,25 @@ def test_every_labelled_text_teaches_whole(spark, monkeypatch):
     assert (again.vectors == network.vectors).all() and again.slope == network.slope and again.bias == network.bias
 
 
+def test_labelled_texts_are_shuffled_once_and_few_others(spark, monkeypatch):
+    """Also where the labelled ids are too many for Spark to broadcast them by itself."""
+    monkeypatch.setattr(toxicity, "ROW_BITS", 1 << 10)
+    monkeypatch.setattr(toxicity, "BLOCK_ROWS", 100)
+    docs = spark.createDataFrame([(i, f"text {i}", "en") for i in range(5000)] + [(None, "x", None)], "doc_id bigint, text string, lang string")
+    own = spark.createDataFrame([(i, i % 2) for i in range(0, 5000, 5)] + [(None, 1), (9999, 1)], "doc_id int, toxic int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        taught = toxicity.labelled(docs, own, F.lit(True))
+        plan = taught._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(_block") == 1 and "SortMergeJoin" not in plan
+        assert sorted((r.label, r.text) for r in taught.collect()) == sorted((i % 2, f"text {i}") for i in range(0, 5000, 5))
+        kept = {r.doc_id for r in toxicity._maybe_among(docs, own.where("doc_id < 5000"), 1000).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert kept >= set(range(0, 5000, 5)) and None not in kept
+    assert 1000 < len(kept) < 1000 + 4000 // 8
+
+
 def test_pieces_are_drawn_from_anywhere_and_bounded(spark):
     texts = spark.createDataFrame([("a" * 10,), ("é" * 5,), ("é" * 6,), ("日本" * 900,), ("x" * 11,), (None,), ("",)], "t string")
     found = [r[0] for r in texts.select(store.piece(F.col("t"), 10)).collect()]
