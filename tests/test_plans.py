@@ -8,6 +8,7 @@ from conftest import SMALL
 from ordertide.operators import cleaning, trends
 from ordertide.plans import demand as plans
 from ordertide.sources import retail, staging
+from pyspark.sql import functions as F
 
 
 def plan_of(df):
@@ -162,3 +163,20 @@ def test_a_task_of_the_totals_reads_little_unless_the_session_says_otherwise(spa
     own.conf.set(shuffled, "64MB")
     getattr(plans, report)(*tables(own))
     assert (own.conf.get(read), own.conf.get(shuffled)) == ("16MB", "64MB")
+
+
+@pytest.mark.parametrize("report", ["demand_growth_by_name", "monthly_in_order", "top_products_by_revenue", "top_products_by_units"])
+def test_a_small_fixed_number_of_shuffle_parts_does_not_make_tasks_larger(spark, report):
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+    entry.queries()[report](own, SMALL)
+    # Parts of the totals, each of which Spark would join with others up to 16 MB.
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4kB")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1kB")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    totals = entry._monthly(own, SMALL)
+    assert totals.select(F.spark_partition_id()).distinct().count() > 8
+    fixed = spark.newSession()
+    fixed.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "3")
+    entry._monthly(fixed, SMALL)
+    assert fixed.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "3"
